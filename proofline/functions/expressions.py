@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,12 +117,9 @@ def tokens_of(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def words_of(text: str) -> list[str]:
+    """The same words of a short text on the driver, such as a query or a listed term."""
+    return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
 def quoted_list(names: Column) -> Column:

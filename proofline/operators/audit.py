@@ -74,7 +74,7 @@ def ranked_match(docs: DataFrame, key: str, text: str, query: str, k: int) -> Da
 
     Words outside the query are dropped before any row is exploded.
     """
-    wanted = sorted({w for w in query.lower().split()})
+    wanted = sorted(set(X.words_of(query)))
     words = F.filter(X.tokens_of(col(text)), lambda w: w.isin(*wanted))
     hits = docs.select(col(key), F.explode(words).alias("term")).groupBy(key, "term").agg(
         F.count("*").alias("tf")

@@ -459,12 +459,12 @@ def jargon_hits(docs: DataFrame, key: str, text: str, terms: DataFrame | Sequenc
     if isinstance(terms, DataFrame):
         lengths = [r[0] for r in terms.select(F.size(X.tokens_of(F.col("term")))).distinct().collect()]
     else:
-        lengths = sorted({len(t.split()) for t in terms})
+        listed = [X.words_of(t) for t in terms]
+        lengths = sorted({len(t) for t in listed})
     staged = docs.select(col(key), words.alias("words"))
     grams = F.flatten(F.array(*[_ngrams(F.col("words"), n) for n in lengths if n > 0]))
     if not isinstance(terms, DataFrame):
-        listed = [" ".join(t.lower().split()) for t in terms]
-        grams = F.filter(grams, lambda g: g.isin(*listed))
+        grams = F.filter(grams, lambda g: g.isin(*{" ".join(t) for t in listed}))
     hits = staged.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(
         F.count("*").alias("n")
     )
