@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,24 +11,51 @@ from proofline.functions.longform import value_counts
 from proofline.session import materialize
 
 
-def running_totals(df: DataFrame, order: Sequence, totals: dict[str, str]) -> DataFrame:
+def running_totals(
+    df: DataFrame,
+    order: Sequence,
+    totals: dict[str, str],
+    within: Sequence[str] = (),
+    only: Callable[[Column, Column, Column], Column] | None = None,
+) -> DataFrame:
     """Add, for each (new name, column), the sum over all rows ordered before this one.
 
-    Rows are range-partitioned on ``order``, which must be unique per row. Each slice
-    is summed on its own and shifted by the total of the slices before it. The slices
-    are checkpointed so that a recomputed task cannot draw other range bounds.
+    ``order`` must be unique per row and start with ``within``, the columns at whose
+    change the sums restart; ``<new name>_all`` is the sum over the whole restart group.
+    Rows are range-partitioned on ``order``. Each slice is summed on its own and shifted
+    by the total of the slices before it. The slices are checkpointed so that a
+    recomputed task cannot draw other range bounds.
+
+    ``only`` keeps the slices for which it holds, given where the first total starts and
+    ends in the slice and its sum over the group; the rest is neither sorted nor summed.
     """
     slices = materialize(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
-    sums = [F.sum(source).alias(f"_of_{name}") for name, source in totals.items()]
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per slice, so at most spark.sql.shuffle.partitions rows
-    shifts = slices.groupBy("_slice").agg(*sums).select(
+    # as slices follow the order, this holds at most one row per slice and per group:
+    # no more than spark.sql.shuffle.partitions plus the number of groups
+    sums = slices.groupBy("_slice", *within).agg(
+        *[F.sum(source).alias(f"_of_{name}") for name, source in totals.items()]
+    )
+    group = Window.partitionBy(*within)
+    before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.select(
         "_slice",
+        *within,
         *[F.coalesce(F.sum(f"_of_{n}").over(before), F.lit(0)).alias(f"_shift_{n}") for n in totals],
+        *[F.sum(f"_of_{n}").over(group).alias(f"{n}_all") for n in totals],
+        *[F.col(f"_of_{n}") for n in totals],
+    )
+    if only is not None:
+        first = next(iter(totals))
+        start = F.col(f"_shift_{first}")
+        shifts = shifts.where(only(start, start + F.col(f"_of_{first}"), F.col(f"{first}_all")))
+    shifts = shifts.drop(*[f"_of_{n}" for n in totals])
+    inside = (
+        Window.partitionBy("_slice", *within)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slices.join(F.broadcast(shifts), "_slice")
+        slices.join(F.broadcast(shifts), ["_slice", *within])
         .withColumns(
             {
                 n: F.coalesce(F.sum(source).over(inside), F.lit(0)) + F.col(f"_shift_{n}")
@@ -42,41 +69,39 @@ def running_totals(df: DataFrame, order: Sequence, totals: dict[str, str]) -> Da
 def row_numbers(df: DataFrame, order: Sequence, name: str) -> DataFrame:
     """Number the rows from 0 in a global order that is unique per row."""
     counted = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_totals(counted, order, {name: "_one"}).drop("_one")
+    return running_totals(counted, order, {name: "_one"}).drop("_one", f"{name}_all")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(column_name, p, value): exact quantiles, linear between neighbouring ranks.
 
-    Values are counted first, so a hot value is one row. The built-in exact percentile
-    would hold all distinct values of a column in one task.
+    Values are counted first, so a hot value is one row, and only the slices that hold a
+    wanted rank are sorted. The built-in exact percentile would hold all distinct values
+    of a column in one task.
     """
     counts = value_counts(df, cols, "double").where(~F.isnan("value"))
-    placed = running_totals(counts, ["column_name", "value"], {"before": "n"})
-    # one row per column
-    spans = placed.groupBy("column_name").agg(
-        F.sum("n").alias("rows"), F.min("before").alias("start")
-    )
-    placed = placed.join(F.broadcast(spans), "column_name").withColumn(
-        "before", F.col("before") - F.col("start")
-    )
-
-    def rank(p: Column) -> Column:
-        return p * (F.col("rows") - 1)
-
-    def holds(r: Column) -> Column:
-        return (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
 
-    wanted = F.filter(
-        F.array(*[F.lit(float(p)) for p in probs]),
-        lambda p: holds(F.floor(rank(p))) | holds(F.ceil(rank(p))),
+    def holds(p: Column, start: Column, end: Column, total: Column) -> Column:
+        rank = p * (total - 1)
+        low, high = F.floor(rank), F.ceil(rank)
+        return ((start <= low) & (low < end)) | ((start <= high) & (high < end))
+
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    placed = running_totals(
+        counts,
+        ["column_name", "value"],
+        {"before": "n"},
+        within=["column_name"],
+        only=lambda start, end, total: F.exists(wanted, lambda p: holds(p, start, end, total)),
     )
-    hits = placed.withColumn("p", F.explode(wanted))
-    low, high = F.floor(rank(F.col("p"))), F.ceil(rank(F.col("p")))
+    start, end, total = F.col("before"), F.col("before") + F.col("n"), F.col("before_all")
+    hits = placed.withColumn("p", F.explode(F.filter(wanted, lambda p: holds(p, start, end, total))))
+    rank = F.col("p") * (total - 1)
+    low, high = F.floor(rank), F.ceil(rank)
     ends = hits.groupBy("column_name", "p").agg(
-        F.max(F.when(holds(low), F.col("value"))).alias("low"),
-        F.max(F.when(holds(high), F.col("value"))).alias("high"),
-        F.max(rank(F.col("p")) - low).alias("part"),
+        F.max(F.when((start <= low) & (low < end), F.col("value"))).alias("low"),
+        F.max(F.when((start <= high) & (high < end), F.col("value"))).alias("high"),
+        F.max(rank - low).alias("part"),
     )
     return ends.select(
         "column_name", "p", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value")

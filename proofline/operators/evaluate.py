@@ -71,16 +71,15 @@ def auc_table(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
     counts = cells.groupBy("score_name", "value").agg(
         F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")
     )
-    placed = running_totals(counts, ["score_name", "value"], {"below": "neg"})
-    wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
+    placed = running_totals(
+        counts, ["score_name", "value"], {"below": "neg"}, within=["score_name"]
+    )
     totals = placed.groupBy("score_name").agg(
-        wins.alias("wins"),
-        F.min("below").alias("base"),
+        F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"),
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
     )
-    won = F.col("wins") - F.col("base") * F.col("n_pos").cast("double")
-    auc = F.try_divide(won, F.col("n_pos").cast("double") * F.col("n_neg"))
+    auc = F.try_divide(F.col("wins"), F.col("n_pos").cast("double") * F.col("n_neg"))
     return totals.select("score_name", "n_pos", "n_neg", auc.alias("auc"))
 
 
