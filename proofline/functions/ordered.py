@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proofline.functions.longform import value_counts
+from proofline.functions.expressions import col
+from proofline.functions.longform import long_values, value_counts
 from proofline.session import materialize
 
+# the sketch is off by at most one rank in this many; brackets reach five times as far
+SKETCH_ACCURACY = 10_000
+
 
 def running_totals(
     df: DataFrame,
@@ -75,11 +80,52 @@ def row_numbers(df: DataFrame, order: Sequence, name: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(column_name, p, value): exact quantiles, linear between neighbouring ranks.
 
-    Values are counted first, so a hot value is one row, and only the slices that hold a
-    wanted rank are sorted. The built-in exact percentile would hold all distinct values
-    of a column in one task.
+    A sketch first brackets each quantile. Values outside the brackets are counted as
+    whole segments, so only those inside are shuffled one by one. Should a bracket miss
+    its rank, the columns concerned are counted value by value. The built-in exact
+    percentile would hold all distinct values of a column in one task.
     """
-    counts = value_counts(df, cols, "double").where(~F.isnan("value"))
+    found = _ranked(_segment_counts(df, cols, probs), probs).collect()
+    missed = sorted({r["column_name"] for r in found if None in (r["low"], r["high"])})
+    if missed:
+        found = [r for r in found if r["column_name"] not in missed]
+        counts = value_counts(df, missed, "double").where(~F.isnan("value"))
+        found += _ranked(counts.withColumn("segment", F.lit(0)), probs).collect()
+    # one row per column and wanted quantile
+    rows = [(r["column_name"], r["p"], r["low"] + (r["high"] - r["low"]) * r["part"]) for r in found]
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
+
+
+def _segment_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(column_name, segment, value, n): counts by value inside the brackets, by segment elsewhere."""
+    margin = 5 / SKETCH_ACCURACY
+    lows = [max(p - margin, 0.0) for p in probs]
+    highs = [min(p + margin, 1.0) for p in probs]
+    values = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in cols]
+    # one row: two numbers per column and wanted quantile
+    bounds = df.agg(
+        *[F.percentile_approx(v, lows + highs, SKETCH_ACCURACY).alias(f"b{i}") for i, v in enumerate(values)]
+    ).first()
+    name, v = F.col("column_name"), F.col("value")
+    segment = inside = F
+    for i, c in enumerate(cols):
+        found = bounds[f"b{i}"] or []
+        pairs = list(zip(found[: len(probs)], found[len(probs) :]))
+        crossed = reduce(
+            lambda a, b: a + b, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in pairs], F.lit(0)
+        )
+        kept = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs], F.lit(False))
+        segment, inside = segment.when(name == c, crossed), inside.when(name == c, kept)
+    cells = long_values(df, cols, "double").where(~F.isnan(v))
+    return (
+        cells.select("column_name", segment.alias("segment"), F.when(inside, v).alias("value"))
+        .groupBy("column_name", "segment", "value")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def _ranked(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column_name, p, low, high, part): the values at the ranks around each quantile."""
 
     def holds(p: Column, start: Column, end: Column, total: Column) -> Column:
         rank = p * (total - 1)
@@ -89,7 +135,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     placed = running_totals(
         counts,
-        ["column_name", "value"],
+        ["column_name", "segment", "value"],
         {"before": "n"},
         within=["column_name"],
         only=lambda start, end, total: F.exists(wanted, lambda p: holds(p, start, end, total)),
@@ -98,14 +144,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     hits = placed.withColumn("p", F.explode(F.filter(wanted, lambda p: holds(p, start, end, total))))
     rank = F.col("p") * (total - 1)
     low, high = F.floor(rank), F.ceil(rank)
-    ends = hits.groupBy("column_name", "p").agg(
+    return hits.groupBy("column_name", "p").agg(
         F.max(F.when((start <= low) & (low < end), F.col("value"))).alias("low"),
         F.max(F.when((start <= high) & (high < end), F.col("value"))).alias("high"),
         F.max(rank - low).alias("part"),
     )
-    return ends.select(
-        "column_name", "p", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value")
-    )
 
 
 def top_per_group(

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from proofline.functions import expressions as X
 from proofline.functions.expressions import DATE_FORMATS, col
 from proofline.functions.longform import rows_of
-from proofline.functions.lookups import BROADCAST_ROWS, join_unique, lookup_join
+from proofline.functions.lookups import BROADCAST_ROWS, fits_broadcast, join_unique
 from proofline.operators.profile import class_counts, null_profile, share, spelling_counts
+from proofline.session import materialize
 
 # The wording of the verdict that users of the contract rely on.
 BLOCK_PREFIX = "Handoff contract violations: "
@@ -350,16 +351,22 @@ def unresolved_refs(
 ) -> DataFrame:
     """Citations in the text that no artifact of the index answers.
 
-    Citations are counted per document first, and a much cited artifact is a hot key
-    that ``join_unique`` spreads.
+    A small index is broadcast. For a large one the citations, counted per document,
+    are kept as a table before the join, so the texts are read once and a much cited
+    artifact is spread as a hot key.
     """
     cited = docs.select(
         col(key), F.explode(F.regexp_extract_all(col(text), F.lit(pattern), F.lit(1))).alias("ref")
     )
-    cited = cited.groupBy(key, "ref").agg(F.count("*").alias("n"))
     known = index.select(col(ref).alias("ref")).where(F.col("ref").isNotNull()).distinct()
-    found = join_unique(cited, known.withColumn("_known", F.lit(True)), ["ref"])
-    return found.where(F.col("_known").isNull()).drop("_known").select(key, "ref", "n")
+    small = fits_broadcast(known)
+    if small:
+        cited = cited.join(F.broadcast(known), "ref", "left_anti")
+    cited = cited.groupBy(key, "ref").agg(F.count("*").alias("n"))
+    if not small:
+        found = join_unique(materialize(cited), known.withColumn("_known", F.lit(True)), ["ref"])
+        cited = found.where(F.col("_known").isNull())
+    return cited.select(key, "ref", "n")
 
 
 def check_json_keys(
@@ -452,28 +459,46 @@ def missing_sections(docs: DataFrame, key: str, text: str, required: Sequence[st
 def jargon_hits(docs: DataFrame, key: str, text: str, terms: DataFrame | Sequence[str]) -> DataFrame:
     """Listed terms used in each text, with counts. Terms may be phrases.
 
-    A short list is tested inside the projection, before any row is exploded; a list
-    given as a table with a ``term`` column is joined by its measured size.
+    Listed words are picked before any row is exploded. A list given as a table with a
+    ``term`` column is broadcast if it is small, else joined to the counted words.
     """
-    words = X.tokens_of(col(text))
+    words = F.col("words")
+    staged = docs.select(col(key), X.tokens_of(col(text)).alias("words"))
     if isinstance(terms, DataFrame):
-        lengths = [r[0] for r in terms.select(F.size(X.tokens_of(F.col("term")))).distinct().collect()]
+        term = X.tokens_of(F.col("term"))
+        known = terms.select(F.array_join(term, " ").alias("term"), F.size(term).alias("n")).distinct()
+        lengths = [r["n"] for r in known.select("n").distinct().orderBy("n").collect()]
+        grams = F.flatten(F.array(*[_ngrams(words, n) for n in lengths if n > 0]))
+        used = staged.select(key, F.explode(grams).alias("term"))
+        small = fits_broadcast(known)
+        if small:
+            used = used.join(F.broadcast(known.select("term")), "term", "left_semi")
+        hits = used.groupBy(key, "term").agg(F.count("*").alias("n"))
+        if not small:
+            hits = join_unique(materialize(hits), known.select("term"), ["term"], "inner")
     else:
-        listed = [X.words_of(t) for t in terms]
-        lengths = sorted({len(t) for t in listed})
-    staged = docs.select(col(key), words.alias("words"))
-    grams = F.flatten(F.array(*[_ngrams(F.col("words"), n) for n in lengths if n > 0]))
-    if not isinstance(terms, DataFrame):
-        grams = F.filter(grams, lambda g: g.isin(*{" ".join(t) for t in listed}))
-    hits = staged.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(
-        F.count("*").alias("n")
-    )
-    if isinstance(terms, DataFrame):
-        known = terms.select(F.array_join(X.tokens_of(F.col("term")), " ").alias("term")).distinct()
-        hits = lookup_join(hits, known, ["term"], "inner")
+        listed = sorted({tuple(X.words_of(t)) for t in terms} - {()})
+        grams = [
+            _listed_grams(words, [t for t in listed if len(t) == n]) for n in sorted({len(t) for t in listed})
+        ]
+        used = staged.select(key, F.explode(F.flatten(F.array(*grams))).alias("term"))
+        hits = used.groupBy(key, "term").agg(F.count("*").alias("n"))
     return hits.select(key, "term", "n")
 
 
+def _listed_grams(words: Column, listed: Sequence[tuple[str, ...]]) -> Column:
+    """The listed phrases of one length, joined up only where their first word stands."""
+    n = len(listed[0])
+    if n == 1:
+        return F.filter(words, lambda w: w.isin(*[t[0] for t in listed]))
+    phrases = [" ".join(t) for t in listed]
+    begins = sorted({t[0] for t in listed})
+    joined = F.transform(
+        words, lambda w, i: F.when(w.isin(*begins), F.array_join(F.slice(words, i + 1, F.lit(n)), " "))
+    )
+    return F.filter(joined, lambda g: g.isin(*phrases))
+
+
 def _ngrams(words: Column, n: int) -> Column:
     if n == 1:
         return words

@@ -6,15 +6,16 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
 from proofline.functions.expressions import col
 from proofline.functions.longform import rows_of
-from proofline.functions.lookups import join_unique, lookup_join
+from proofline.functions.lookups import fits_broadcast, join_unique
 from proofline.functions.ordered import row_numbers
 from proofline.operators.evaluate import auc_table
+from proofline.session import materialize
 
 # Fixed value: the prefix of every engineered column.
 PREFIX = "feat_"
@@ -110,10 +111,19 @@ def one_hot(df: DataFrame, name: str, max_levels: int = 50) -> DataFrame:
 
 
 def label_encode(df: DataFrame, name: str) -> DataFrame:
-    """Codes from 0 in the sorted order of the values; NULL stays NULL."""
-    levels = df.select(col(name).alias(name)).where(col(name).isNotNull()).distinct()
-    codes = row_numbers(levels, [col(name)], feat(f"{name}_code"))
-    return lookup_join(df, codes, [name]).select(*[col(c) for c in df.columns], feat(f"{name}_code"))
+    """Codes from 0 in the sorted order of the values; NULL stays NULL.
+
+    A measured handful of levels is numbered in one window and broadcast; more of them
+    are numbered range by range and joined with hot values spread.
+    """
+    code = feat(f"{name}_code")
+    levels = materialize(df.select(col(name)).where(col(name).isNotNull()).distinct())
+    if fits_broadcast(levels):
+        number = (F.row_number().over(Window.orderBy(col(name))) - 1).cast("bigint")
+        coded = df.join(F.broadcast(levels.select(col(name), number.alias(code))), [name], "left")
+    else:
+        coded = join_unique(df, row_numbers(levels, [col(name)], code), [name])
+    return coded.select(*[col(c) for c in df.columns], code)
 
 
 def scaled(df: DataFrame, cols: Sequence[str], method: str = "standard") -> dict[str, Column]:

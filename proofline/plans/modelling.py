@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from proofline.operators.clean import impute
 from proofline.operators.evaluate import binary_metrics, compare_models, fit_logit, split
 from proofline.operators.features import feat, scale
+from proofline.session import materialize
 
 
 def evaluate_set(df: DataFrame, key: str, label: str, cols: Sequence[str], name: str) -> DataFrame:
@@ -25,7 +26,7 @@ def evaluate_set(df: DataFrame, key: str, label: str, cols: Sequence[str], name:
     ready = scale(filled, cols, fit_on=filled_train)
     scaled = [feat(f"{c}_standard") for c in cols]
     # a column without spread has no scaled value and tells a model nothing
-    ready = ready.fillna(0.0, scaled)
+    ready = materialize(ready.select(key, label, *scaled).fillna(0.0, scaled))
     train, test = split(ready, key)
     model = fit_logit(train, scaled, label)
     metrics = binary_metrics(model.score(test), label, "score")
@@ -33,6 +34,13 @@ def evaluate_set(df: DataFrame, key: str, label: str, cols: Sequence[str], name:
 
 
 def compare_feature_sets(df: DataFrame, key: str, label: str, sets: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Comparison table over named feature sets, one of them called ``baseline``."""
-    measured = [evaluate_set(df, key, label, cols, name) for name, cols in sets.items()]
-    return compare_models(reduce(DataFrame.unionByName, measured))
+    """Comparison table over named feature sets, one of them called ``baseline``.
+
+    The features are computed once and kept as a narrow table, as fitting reads its rows
+    several times.
+    """
+    used = sorted({c for cols in sets.values() for c in cols})
+    narrow = materialize(df.select(key, label, *used))
+    measured = [evaluate_set(narrow, key, label, cols, name) for name, cols in sets.items()]
+    # one row per feature set
+    return compare_models(materialize(reduce(DataFrame.unionByName, measured)))

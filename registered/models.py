@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from proofline.operators import evaluate as M
 from proofline.operators import features as E
 from proofline.plans.modelling import compare_feature_sets
+from proofline.session import materialize
 from registered.base import query, rounded, table, union_all
 from registered.engineering import auc_sql
 
@@ -46,7 +47,8 @@ def labelled_texts(spark, sf):
 def fitted_logit(spark, sf):
     cols = ["feat_text_words", "feat_text_digits", "feat_punctuation_per_word"]
     train, _ = M.split(labelled_texts(spark, sf).na.fill(0.0), "doc_id")
-    scaled = E.scale(train, cols)
+    # the text is read once, the fit then passes over three numbers a row
+    scaled = E.scale(materialize(train.select(*cols, "quality")), cols)
     model = M.fit_logit(scaled, [f"feat_{c}_standard" for c in cols], "quality", reg=0.01)
     weights = [*zip(model.columns, model.weights), ("intercept", model.intercept)]
     return spark.createDataFrame(weights, "term string, weight double")
