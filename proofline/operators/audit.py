@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from proofline.functions import expressions as X
 from proofline.functions.expressions import col
 from proofline.functions.ordered import row_numbers, top_per_group
+from proofline.session import materialize
 
 
 def audit_rows(violations: DataFrame, checks: Sequence[str], run_id: str, at: Column) -> DataFrame:
@@ -72,13 +73,15 @@ def scorecard(scores: DataFrame, model: str, criteria: Sequence[str]) -> DataFra
 def ranked_match(docs: DataFrame, key: str, text: str, query: str, k: int) -> DataFrame:
     """The ``k`` texts that answer a description best, by summed TF-IDF.
 
-    Words outside the query are dropped before any row is exploded.
+    Words outside the query are dropped before any row is exploded, and the counts of
+    the rest are kept as a narrow table, so the texts are read once.
     """
     wanted = sorted(set(X.words_of(query)))
     words = F.filter(X.tokens_of(col(text)), lambda w: w.isin(*wanted))
     hits = docs.select(col(key), F.explode(words).alias("term")).groupBy(key, "term").agg(
         F.count("*").alias("tf")
     )
+    hits = materialize(hits)
     total = docs.agg(F.count("*")).scalar()
     # one row per query word
     rarity = hits.groupBy("term").agg(F.count("*").alias("df"))

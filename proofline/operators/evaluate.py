@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from proofline.functions.expressions import col
 from proofline.functions.ordered import running_totals
+from proofline.session import materialize
 
 
 def bucket(key: str, seed: int = 42) -> Column:
@@ -107,8 +108,10 @@ def binary_metrics(scored: DataFrame, label: str, score: str, threshold: float =
 def compare_models(metrics: DataFrame, baseline: str = "baseline") -> DataFrame:
     """metrics per feature set with the lift over the baseline in points.
 
-    ``metrics`` holds one row per feature set: feature_set, accuracy, f1, auc.
+    ``metrics`` holds one row per feature set: feature_set, accuracy, f1, auc. It is
+    computed once, as the baseline row is read again for every other row.
     """
+    metrics = materialize(metrics)
     base = metrics.where(F.col("feature_set") == baseline).select(F.struct("accuracy", "f1", "auc")).scalar()
     return metrics.select(
         "feature_set",

@@ -232,7 +232,7 @@ def challenge_stats(df: DataFrame, feature: str, sources: Sequence[str], den: st
         ],
     )
     # one row per score column
-    areas = auc_table(df, [feature, *sources], label).select("score_name", "auc")
+    areas = materialize(auc_table(df, [feature, *sources], label).select("score_name", "auc"))
     own = areas.where(F.col("score_name") == feature).select("auc").scalar()
     of_source = areas.select(F.col("score_name").alias("source"), F.col("auc").alias("auc_source"))
     return facts.join(F.broadcast(of_source), "source", "left").select(
