@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,28 +68,29 @@ def is_masked(c: Column, tokens: Sequence[str] = MASK_TOKENS) -> Column:
     return F.trim(c).isin(*tokens) if tokens else F.lit(False)
 
 
-def value_class(
-    df: DataFrame,
-    name: str,
-    tokens: Sequence[str] = (),
-    formats: Sequence[str] = DATE_FORMATS,
+def text_class(
+    c: Column, tokens: Sequence[str] = (), formats: Sequence[str] = DATE_FORMATS, shapes: bool = True
 ) -> Column:
-    """Class of each value: null, empty, masked, numeric, date or string.
+    """Class of a text value by its shape: null, empty, masked, numeric, date or string."""
+    ladder = F.when(c.isNull(), NULL).when(F.trim(c) == "", EMPTY)
+    if tokens:
+        ladder = ladder.when(is_masked(c, tokens), MASKED)
+    if shapes:
+        ladder = ladder.when(c.rlike(NUMBER), NUMERIC).when(parsed_date(c, formats).isNotNull(), DATE)
+    return ladder.otherwise(STRING)
 
-    Typed columns are classed by their type, text by its shape. NaN counts as null,
-    as a division by zero gives NULL here.
+
+def typed_class(df: DataFrame, name: str) -> Column:
+    """Class of a value by its column's type; NULL for text, which has to be looked at.
+
+    NaN counts as null, as a division by zero gives NULL here.
     """
-    c = col(name)
     if is_string(df, name):
-        ladder = F.when(c.isNull(), NULL).when(F.trim(c) == "", EMPTY)
-        if tokens:
-            ladder = ladder.when(is_masked(c, tokens), MASKED)
-        ladder = ladder.when(c.rlike(NUMBER), NUMERIC)
-        return ladder.when(parsed_date(c, formats).isNotNull(), DATE).otherwise(STRING)
+        return F.lit(None)
     kind = NUMERIC if is_numeric(df, name) else DATE if is_temporal(df, name) else STRING
-    absent = c.isNull()
+    absent = col(name).isNull()
     if isinstance(dtype(df, name), (T.DoubleType, T.FloatType)):
-        absent = absent | F.isnan(c)
+        absent = absent | F.isnan(col(name))
     return F.when(absent, NULL).otherwise(kind)
 
 
@@ -122,6 +124,10 @@ def words_of(text: str) -> list[str]:
     return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
+def added(parts: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
+
+
 def quoted_list(names: Column) -> Column:
     """An array of names in the form ``['a', 'b']``."""
     return F.concat(F.lit("['"), F.array_join(names, "', '"), F.lit("']"))

@@ -1,4 +1,4 @@
-"""From wide one-row aggregates to one row per column, and from columns to value counts."""
+"""From wide aggregates to rows, and from columns to value counts."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from proofline.functions.expressions import col, is_numeric
 
 
-def rows_of(one_row: DataFrame, entries: Sequence[Mapping[str, Column]]) -> DataFrame:
-    """Turn the columns of a one-row table into rows, one per entry."""
+def rows_of(wide: DataFrame, entries: Sequence[Mapping[str, Column]]) -> DataFrame:
+    """Turn the columns of a small wide table into rows, one per entry and wide row."""
     structs = [F.struct(*[c.alias(name) for name, c in entry.items()]) for entry in entries]
-    return one_row.select(F.inline(F.array(*structs)))
+    return wide.select(F.inline(F.array(*structs)))
 
 
 def long_values(df: DataFrame, cols: Sequence[str], cast: str = "string") -> DataFrame:

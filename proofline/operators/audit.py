@@ -64,7 +64,7 @@ def scorecard(scores: DataFrame, model: str, criteria: Sequence[str]) -> DataFra
     means = scores.groupBy(model).agg(
         F.count("*").alias("n"), *[F.avg(col(c)).alias(f"mean_{c}") for c in criteria]
     )
-    overall = sum((F.col(f"mean_{c}") for c in criteria[1:]), F.col(f"mean_{criteria[0]}")) / len(criteria)
+    overall = X.added([F.col(f"mean_{c}") for c in criteria]) / len(criteria)
     rated = means.withColumn("overall", F.round(overall, 9))
     placed = row_numbers(rated, [F.desc("overall"), F.asc(model)], "position")
     return placed.withColumn("position", F.col("position") + 1)

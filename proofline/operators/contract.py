@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from proofline.functions import expressions as X
 from proofline.functions.expressions import DATE_FORMATS, col
 from proofline.functions.longform import rows_of
 from proofline.functions.lookups import BROADCAST_ROWS, fits_broadcast, join_unique
-from proofline.operators.profile import class_counts, null_profile, share, spelling_counts
+from proofline.operators.profile import column_counts, null_profile, share, spelling_counts
 from proofline.session import materialize
 
 # The wording of the verdict that users of the contract rely on.
@@ -23,9 +22,7 @@ MIXED_MESSAGE = "Column '{}' has mixed types ({})"
 PASSED_REASON = "All handoff contract checks passed."
 JOINED_BY = "; "
 
-KINDS = ("numeric", "date", "string")
 CHECKS = ("duplicate_columns", "mixed_types", "formats", "size", "missing", "casing")
-VIOLATION = "seq int, check string, column_name string, n bigint, severity string, message string"
 
 
 @dataclass(frozen=True)
@@ -80,46 +77,46 @@ def check_duplicate_columns(
     )
 
 
-def pooled(header: Sequence[str]) -> dict[str, list[int]]:
-    """Positions of each name, in header order."""
-    groups: dict[str, list[int]] = {}
-    for i, name in enumerate(header):
-        groups.setdefault(name, []).append(i)
-    return groups
+def _pooled(counts: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Counts per name in header order; columns that share a name are added up."""
+    names = F.array(*[F.lit(n) for n in header])
+    sums = [F.sum(c).alias(c) for c in counts.columns if c.startswith("n_") and c != "n_rows"]
+    return (
+        counts.withColumn("column_name", F.get(names, F.col("position")))
+        .groupBy("column_name")
+        .agg(
+            F.min("position").alias("position"),
+            F.max("n_rows").alias("n_rows"),
+            F.sum("n_rows").alias("n_cells"),
+            *sums,
+        )
+    )
 
 
-def _sum(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+def _listed(parts: Mapping[str, Column]) -> Column:
+    """The names whose count is above zero, joined by a plus sign."""
+    return F.array_join(F.array_compact(F.array(*[F.when(n > 0, F.lit(k)) for k, n in parts.items()])), " + ")
 
 
-def _kind_counts(positions: Sequence[int]) -> dict[str, Column]:
-    """Values per class over all columns of one name; a quoted empty cell is text."""
+def _kind_counts() -> dict[str, Column]:
+    """Values per class; a quoted empty cell is text."""
     return {
-        "numeric": _sum([F.col(f"numeric_{i}") for i in positions]),
-        "date": _sum([F.col(f"date_{i}") for i in positions]),
-        "string": _sum([F.col(f"string_{i}") + F.col(f"empty_{i}") for i in positions]),
+        "numeric": F.col("n_numeric"),
+        "date": F.col("n_date"),
+        "string": F.col("n_string") + F.col("n_empty"),
     }
 
 
-def _kinds_text(counts: Mapping[str, Column]) -> Column:
-    return F.array_join(F.array_compact(F.array(*[F.when(counts[k] > 0, k) for k in KINDS])), " + ")
-
-
 def check_mixed_types(
     df: DataFrame, header: Sequence[str] | None = None, formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
     """Columns that hold values of more than one class; columns of one name are pooled."""
-    entries = []
-    for name, positions in pooled(header or df.columns).items():
-        counts = _kind_counts(positions)
-        entries.append(
-            {
-                "column_name": F.lit(name),
-                **{f"n_{k}": c for k, c in counts.items()},
-                "kinds": _kinds_text(counts),
-            }
-        )
-    return rows_of(class_counts(df, formats=formats), entries).where(F.col("kinds").contains("+"))
+    kinds = _kind_counts()
+    return (
+        _pooled(column_counts(df, formats=formats), list(header or df.columns))
+        .select("column_name", *[n.alias(f"n_{k}") for k, n in kinds.items()], _listed(kinds).alias("kinds"))
+        .where(F.col("kinds").contains("+"))
+    )
 
 
 def check_formats(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -134,36 +131,24 @@ def check_formats(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return rows_of(counts, entries).where(F.col("n") > 0)
 
 
+def _format_counts(formats: Sequence[str]) -> dict[str, Column]:
+    return {**{f: F.col(f"n_fmt_{j}") for j, f in enumerate(formats)}, "other": F.col("n_fmt_other")}
+
+
+def _several(text: Column) -> Column:
+    """More than one date format, or none that is known."""
+    return text.contains(" + ") | (text == "other")
+
+
 def check_date_formats(
     df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
     """C3 for dates: columns written in more than one format, or in none of them."""
-    names = [*formats, "other"]
-    staged = df.select(*[X.matched_format(col(c), formats).alias(f"f{i}") for i, c in enumerate(columns)])
-    counts = staged.agg(
-        *[
-            F.count_if(F.col(f"f{i}") == f).alias(f"f{i}_{j}")
-            for i in range(len(columns))
-            for j, f in enumerate(names)
-        ]
-    )
-    entries = [
-        {
-            "column_name": F.lit(c),
-            "formats": F.array_join(
-                F.array_compact(
-                    F.array(*[F.when(F.col(f"f{i}_{j}") > 0, f) for j, f in enumerate(names)])
-                ),
-                " + ",
-            ),
-            "n": _sum([F.col(f"f{i}_{j}") for j in range(len(names))]),
-        }
-        for i, c in enumerate(columns)
-    ]
-    formats_text = F.col("formats")
-    return rows_of(counts, entries).where(
-        formats_text.contains(" + ") | (formats_text == "other")
-    )
+    seen = _format_counts(formats)
+    counts = column_counts(df, columns, formats=formats, shapes=False, date_columns=columns)
+    return counts.select(
+        "column_name", _listed(seen).alias("formats"), X.added(list(seen.values())).alias("n")
+    ).where(_several(F.col("formats")))
 
 
 def check_size(
@@ -220,84 +205,89 @@ def check_casing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequence[str] | None = None) -> DataFrame:
     """All checks of a contract as one table of violations.
 
-    One aggregate over one scan serves every rule but casing, which needs a shuffle of
-    the distinct category values.
+    One scan serves every rule but casing, which needs a shuffle of the distinct
+    category values.
     """
     header = list(header or df.columns)
-    groups = pooled(header)
-    at = {name: df.columns[positions[0]] for name, positions in groups.items()}
-    extra: dict[str, Column] = {}
-    for i, (name, pattern) in enumerate(contract.patterns.items()):
-        extra[f"bad_{i}"] = ~col(at[name]).rlike(pattern)
-    names = [*contract.formats, "other"]
-    for i, name in enumerate(contract.date_columns):
-        kind = X.matched_format(col(at[name]), contract.formats)
-        for j, f in enumerate(names):
-            extra[f"fmt_{i}_{j}"] = kind == f
-    counts = class_counts(df, df.columns, contract.tokens, contract.formats, extra)
-
-    def entry(check: str, name: str | None, n: Column, bad: Column, message: Column) -> dict[str, Column]:
+    # rules of a name look at its first column
+    at = {name: df.columns[i] for i, name in reversed(list(enumerate(header)))}
+    counts = column_counts(
+        df,
+        df.columns,
+        contract.tokens,
+        contract.formats,
+        patterns={at[n]: p for n, p in contract.patterns.items()},
+        date_columns=[at[n] for n in contract.date_columns],
+    )
+    per_name = _pooled(counts, header)
+    column = F.concat(F.lit("Column '"), F.col("column_name"), F.lit("'"))
+
+    def entry(check: str, n: Column, bad: Column, message: Column, of_table: bool = False) -> dict[str, Column]:
         return {
             "seq": F.lit(CHECKS.index(check)),
             "check": F.lit(check),
-            "column_name": F.lit(name).cast("string"),
+            "column_name": F.lit(None).cast("string") if of_table else F.col("column_name"),
             "n": n.cast("bigint"),
             "severity": F.lit("warn" if check in contract.warn else "block"),
             "message": F.when(bad, message),
         }
 
-    entries = []
+    kinds = _kind_counts()
+    kinds_text = _listed(kinds)
+    before, after = MIXED_MESSAGE.split("{}", 1)
+    opened, closed = after.split("{}")
+    mixed = F.concat(F.lit(before), F.col("column_name"), F.lit(opened), kinds_text, F.lit(closed))
+    entries = [entry("mixed_types", X.added(list(kinds.values())), kinds_text.contains("+"), mixed)]
+    if contract.patterns:
+        pairs = F.create_map(*[F.lit(part) for item in contract.patterns.items() for part in item])
+        pattern = F.try_element_at(pairs, F.col("column_name"))
+        off = F.concat(column, F.lit(" has "), F.col("n_bad"), F.lit(" values that do not match "), pattern)
+        entries.append(entry("formats", F.col("n_bad"), F.col("n_bad") > 0, off))
+    if contract.date_columns:
+        seen = _format_counts(contract.formats)
+        text = _listed(seen)
+        several = F.concat(column, F.lit(" has dates in the formats "), text)
+        entries.append(entry("formats", X.added(list(seen.values())), _several(text), several))
+    if contract.max_missing is not None:
+        n = F.col("n_null") + F.col("n_empty") + F.col("n_masked")
+        too_many = share(n, F.col("n_cells")) > contract.max_missing
+        entries.append(entry("missing", n, too_many, F.concat(column, F.lit(" has "), n, F.lit(" missing values"))))
+    # the size is told once, with the first column
+    for measure, value, bounds in (
+        ("rows", F.col("n_rows"), contract.rows),
+        ("columns", F.lit(len(header)).cast("bigint"), contract.columns),
+    ):
+        outside = (F.col("position") == 0) & ~_within(value, bounds)
+        message = F.concat(F.lit("Table has "), value, F.lit(f" {measure}"))
+        entries.append(entry("size", value, outside, message, of_table=True))
+    found = rows_of(per_name, entries)
+
     keys = [n if contract.case_sensitive else n.lower() for n in header]
-    repeated = [positions[0] for positions in pooled(keys).values() if len(positions) > 1]
-    listed = X.quoted_list(F.array(*[F.lit(header[i]) for i in repeated]).cast("array<string>"))
-    entries.append(
-        entry(
-            "duplicate_columns",
-            None,
-            F.lit(len(repeated)),
-            F.lit(bool(repeated)),
-            F.concat(F.lit(DUPLICATE_MESSAGE), listed),
+    repeated = [header[keys.index(k)] for k in dict.fromkeys(keys) if keys.count(k) > 1]
+    if repeated:
+        named = X.quoted_list(F.array(*[F.lit(n) for n in repeated]))
+        duplicates = df.sparkSession.range(1).select(
+            *[
+                c.alias(name)
+                for name, c in entry(
+                    "duplicate_columns",
+                    F.lit(len(repeated)),
+                    F.lit(True),
+                    F.concat(F.lit(DUPLICATE_MESSAGE), named),
+                    of_table=True,
+                ).items()
+            ]
         )
-    )
-    for name, positions in groups.items():
-        kinds = _kind_counts(positions)
-        text = _kinds_text(kinds)
-        before, after = MIXED_MESSAGE.split("{}", 1)
-        opened, closed = after.split("{}")
-        mixed = F.concat(F.lit(before + name + opened), text, F.lit(closed))
-        entries.append(entry("mixed_types", name, _sum(list(kinds.values())), text.contains("+"), mixed))
-    for i, (name, pattern) in enumerate(contract.patterns.items()):
-        n = F.col(f"bad_{i}")
-        message = F.concat(F.lit(f"Column '{name}' has "), n, F.lit(f" values that do not match {pattern}"))
-        entries.append(entry("formats", name, n, n > 0, message))
-    for i, name in enumerate(contract.date_columns):
-        seen = [F.when(F.col(f"fmt_{i}_{j}") > 0, f) for j, f in enumerate(names)]
-        text = F.array_join(F.array_compact(F.array(*seen)), " + ")
-        n = _sum([F.col(f"fmt_{i}_{j}") for j in range(len(names))])
-        message = F.concat(F.lit(f"Column '{name}' has dates in the formats "), text)
-        entries.append(entry("formats", name, n, text.contains(" + ") | (text == "other"), message))
-    sizes = {"rows": (F.col("n_rows"), contract.rows), "columns": (F.lit(len(header)), contract.columns)}
-    for measure, (value, bounds) in sizes.items():
-        message = F.concat(F.lit("Table has "), value.cast("string"), F.lit(f" {measure}"))
-        entries.append(entry("size", None, value, ~_within(value, bounds), message))
-    if contract.max_missing is not None:
-        for name, positions in groups.items():
-            n = _sum([F.col(f"{k}_{i}") for i in positions for k in ("null", "empty", "masked")])
-            part = share(n, F.col("n_rows") * len(positions))
-            message = F.concat(F.lit(f"Column '{name}' has "), n, F.lit(" missing values"))
-            entries.append(entry("missing", name, n, part > contract.max_missing, message))
-    found = rows_of(counts, entries)
+        found = found.unionByName(duplicates)
     if contract.categories:
         renamed = df.select(*[col(at[c]).alias(c) for c in contract.categories])
         casing = check_casing(renamed, contract.categories).select(
-            F.lit(CHECKS.index("casing")).alias("seq"),
-            F.lit("casing").alias("check"),
-            "column_name",
-            F.col("n_rows").alias("n"),
-            F.lit("warn" if "casing" in contract.warn else "block").alias("severity"),
-            F.concat(F.lit("Column '"), F.col("column_name"), F.lit("' has inconsistent casing")).alias(
-                "message"
-            ),
+            *[
+                c.alias(name)
+                for name, c in entry(
+                    "casing", F.col("n_rows"), F.lit(True), F.concat(column, F.lit(" has inconsistent casing"))
+                ).items()
+            ]
         )
         found = found.unionByName(casing)
     return found.where(F.col("message").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
 from proofline.functions.expressions import DATE_FORMATS, MASK_TOKENS, col
-from proofline.functions.longform import numeric_columns, rows_of, value_counts
+from proofline.functions.longform import long_values, numeric_columns, rows_of, value_counts
 from proofline.functions.ordered import exact_quantiles, top_per_group
 
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
@@ -30,40 +30,61 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def class_counts(
+def column_counts(
     df: DataFrame,
     cols: Sequence[str] | None = None,
     tokens: Sequence[str] = (),
     formats: Sequence[str] = DATE_FORMATS,
-    extra: dict[str, Column] | None = None,
+    shapes: bool = True,
+    patterns: Mapping[str, str] | None = None,
+    date_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """One row: ``n_rows`` and, for the i-th column, counts ``null_i`` ... ``string_i``.
+    """One row per column with every count that the profile and the contract need.
 
-    ``extra`` adds named per-row conditions to be counted in the same pass. Counts that
-    a caller does not select are pruned from the aggregate.
+    position, column_name, n_rows, and the values per class: n_null, n_empty, n_masked,
+    n_numeric, n_date, n_string; n_bad counts values off their column's pattern, n_fmt_j
+    and n_fmt_other the date formats of ``date_columns``. ``shapes=False`` leaves numbers
+    and dates unrecognised, which saves their patterns.
+
+    All of it is one scan: cells become rows that are counted before the shuffle, so the
+    shuffle holds one row per column and task, and the code does not grow with the table.
     """
-    cols = df.columns if cols is None else cols
-    extra = extra or {}
-    staged = df.select(
-        *[X.value_class(df, c, tokens, formats).alias(f"k{i}") for i, c in enumerate(cols)],
-        *[cond.alias(name) for name, cond in extra.items()],
+    cols = list(df.columns if cols is None else cols)
+    patterns = patterns or {}
+    read_as_text = {*patterns, *date_columns}
+    kinds, texts = [], []
+    for c in cols:
+        kinds.append(X.typed_class(df, c).cast("int"))
+        is_text = X.is_string(df, c) or c in read_as_text
+        texts.append(col(c).cast("string") if is_text else F.lit(None).cast("string"))
+    cells = df.select(F.array(*kinds).alias("kinds"), F.posexplode(F.array(*texts)).alias("position", "text"))
+    position, text = F.col("position"), F.col("text")
+    kind = F.coalesce(F.get("kinds", position), X.text_class(text, tokens, formats, shapes))
+    at = {c: i for i, c in enumerate(cols)}
+    off = F.lit(False)
+    for c, p in patterns.items():
+        off = F.when(position == at[c], ~text.rlike(p)).otherwise(off)
+    fmt = F.lit(None).cast("string")
+    if date_columns:
+        fmt = F.when(position.isin(*[at[c] for c in date_columns]), X.matched_format(text, formats))
+    codes = {"null": X.NULL, "empty": X.EMPTY, "masked": X.MASKED, "numeric": X.NUMERIC, "date": X.DATE, "string": X.STRING}
+    counts = (
+        cells.select("position", kind.alias("kind"), off.alias("off"), fmt.alias("fmt"))
+        .groupBy("position")
+        .agg(
+            F.count("*").alias("n_rows"),
+            *[F.count_if(F.col("kind") == code).alias(f"n_{name}") for name, code in codes.items()],
+            F.count_if("off").alias("n_bad"),
+            *[F.count_if(F.col("fmt") == f).alias(f"n_fmt_{j}") for j, f in enumerate(formats)],
+            F.count_if(F.col("fmt") == "other").alias("n_fmt_other"),
+        )
     )
-    codes = {
-        "null": X.NULL,
-        "empty": X.EMPTY,
-        "masked": X.MASKED,
-        "numeric": X.NUMERIC,
-        "date": X.DATE,
-        "string": X.STRING,
-    }
-    counts = [
-        F.count_if(F.col(f"k{i}") == code).alias(f"{name}_{i}")
-        for i in range(len(cols))
-        for name, code in codes.items()
-    ]
-    return staged.agg(
-        F.count("*").alias("n_rows"), *counts, *[F.count_if(name).alias(name) for name in extra]
+    # an empty table has no cells, but its columns are still listed
+    names = df.sparkSession.range(len(cols)).select(
+        F.col("id").cast("int").alias("position"),
+        F.get(F.array(*[F.lit(c) for c in cols]), F.col("id").cast("int")).alias("column_name"),
     )
+    return names.join(F.broadcast(counts), "position", "left").fillna(0)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -106,56 +127,37 @@ def null_profile(
     df: DataFrame, tokens: Sequence[str] = MASK_TOKENS, cols: Sequence[str] | None = None
 ) -> DataFrame:
     """Null, empty and masked counts per column, and the share of all three."""
-    cols = list(cols or df.columns)
-    entries = []
-    for i, name in enumerate(cols):
-        missing = F.col(f"null_{i}") + F.col(f"empty_{i}") + F.col(f"masked_{i}")
-        entries.append(
-            {
-                "column_name": F.lit(name),
-                "n_rows": F.col("n_rows"),
-                "n_null": F.col(f"null_{i}"),
-                "n_empty": F.col(f"empty_{i}"),
-                "n_masked": F.col(f"masked_{i}"),
-                "missing_share": share(missing, F.col("n_rows")),
-            }
-        )
-    return rows_of(class_counts(df, cols, tokens), entries)
+    missing = F.col("n_null") + F.col("n_empty") + F.col("n_masked")
+    return column_counts(df, cols, tokens, shapes=False).select(
+        "column_name",
+        "n_rows",
+        "n_null",
+        "n_empty",
+        "n_masked",
+        share(missing, F.col("n_rows")).alias("missing_share"),
+    )
 
 
 def masked_nulls(df: DataFrame, tokens: Sequence[str] = MASK_TOKENS) -> DataFrame:
     """Text columns in which a token stands for null, with a count per token."""
     cols = [c for c in df.columns if X.is_string(df, c)]
-    spots = [(i, c, j, t) for i, c in enumerate(cols) for j, t in enumerate(tokens)]
-    counts = df.agg(
-        F.count("*").alias("n_rows"),
-        *[F.count_if(F.trim(col(c)) == t).alias(f"m{i}_{j}") for i, c, j, t in spots],
+    found = (
+        long_values(df, cols)
+        .select("column_name", F.trim("value").alias("token"))
+        .where(F.col("token").isin(*tokens))
+        .groupBy("column_name", "token")
+        .agg(F.count("*").alias("n"))
     )
-    entries = [
-        {
-            "column_name": F.lit(c),
-            "token": F.lit(t),
-            "n": F.col(f"m{i}_{j}"),
-            "share": share(F.col(f"m{i}_{j}"), F.col("n_rows")),
-        }
-        for i, c, j, t in spots
-    ]
-    return rows_of(counts, entries).where(F.col("n") > 0)
+    return found.withColumn("share", share(F.col("n"), df.agg(F.count("*")).scalar()))
 
 
 def type_profile(
     df: DataFrame, cols: Sequence[str] | None = None, formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
     """How many values of each column look like numbers, dates, text or nothing."""
-    cols = list(cols or df.columns)
-    entries = [
-        {
-            "column_name": F.lit(c),
-            **{f"n_{k}": F.col(f"{k}_{i}") for k in ("null", "empty", "numeric", "date", "string")},
-        }
-        for i, c in enumerate(cols)
-    ]
-    return rows_of(class_counts(df, cols, (), formats), entries)
+    return column_counts(df, cols, formats=formats).select(
+        "column_name", "n_null", "n_empty", "n_numeric", "n_date", "n_string"
+    )
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
@@ -301,41 +303,34 @@ class ProfileRules:
 def quality_issues(df: DataFrame, rules: ProfileRules = ProfileRules()) -> DataFrame:
     """One row per column and kind of issue, with the number and share of its rows.
 
-    Two scans whatever the number of columns: one aggregate for all cell counts, one
-    value count for the categories.
+    Two scans whatever the number of columns: one for all cell counts, one for the
+    values of the categories.
     """
-    cols = df.columns
-    formats = {
-        f"fmt{i}_{j}": X.matched_format(col(c), rules.formats) == f
-        for i, c in enumerate(rules.date_columns)
-        for j, f in enumerate(rules.formats)
+    counts = column_counts(
+        df, df.columns, rules.tokens, rules.formats, date_columns=rules.date_columns
+    )
+    kinds = [F.col(f"n_{k}") for k in ("numeric", "date", "string")]
+    seen = [F.col(f"n_fmt_{j}") for j in range(len(rules.formats))]
+    issues = {
+        "null": F.col("n_null"),
+        "empty": F.col("n_empty"),
+        "masked_null": F.col("n_masked"),
+        # values outside the column's main class, and dates outside its main format
+        "mixed_types": X.added(kinds) - F.greatest(*kinds),
+        "mixed_date_formats": X.added(seen) - F.array_max(F.array(*seen)),
     }
-    counts = class_counts(df, cols, rules.tokens, rules.formats, formats)
-    n_rows = F.col("n_rows")
-
-    def entry(name: str, issue: str, n: Column) -> dict[str, Column]:
-        return {
-            "column_name": F.lit(name),
-            "issue": F.lit(issue),
-            "n": n.cast("bigint"),
-            "share": share(n, n_rows),
-        }
-
-    entries = []
-    for i, c in enumerate(cols):
-        kinds = [F.col(f"{k}_{i}") for k in ("numeric", "date", "string")]
-        entries.append(entry(c, "null", F.col(f"null_{i}")))
-        entries.append(entry(c, "empty", F.col(f"empty_{i}")))
-        entries.append(entry(c, "masked_null", F.col(f"masked_{i}")))
-        # values outside the column's main class
-        minority = kinds[0] + kinds[1] + kinds[2] - F.greatest(*kinds)
-        entries.append(entry(c, "mixed_types", minority))
-    for i, c in enumerate(rules.date_columns):
-        seen = [F.col(f"fmt{i}_{j}") for j in range(len(rules.formats))]
-        total = sum(seen[1:], seen[0])
-        main = F.greatest(*seen) if len(seen) > 1 else seen[0]
-        entries.append(entry(c, "mixed_date_formats", total - main))
-    found = rows_of(counts, entries)
+    found = rows_of(
+        counts,
+        [
+            {
+                "column_name": F.col("column_name"),
+                "issue": F.lit(issue),
+                "n": n.cast("bigint"),
+                "share": share(n, F.col("n_rows")),
+            }
+            for issue, n in issues.items()
+        ],
+    )
     if rules.categories:
         spelled = spelling_counts(df, rules.categories).groupBy("column_name").agg(
             F.sum("n_variants").alias("n_distinct"),
