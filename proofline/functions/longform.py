@@ -16,6 +16,14 @@ def rows_of(wide: DataFrame, entries: Sequence[Mapping[str, Column]]) -> DataFra
     return wide.select(F.inline(F.array(*structs)))
 
 
+def names_of(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(position, column_name): one row per named column, also where the table is empty."""
+    position = F.col("id").cast("int")
+    return df.sparkSession.range(len(cols)).select(
+        position.alias("position"), F.get(F.array(*[F.lit(c) for c in cols]), position).alias("column_name")
+    )
+
+
 def long_values(df: DataFrame, cols: Sequence[str], cast: str = "string") -> DataFrame:
     """(column_name, value): one row per cell of the named columns, nulls left out."""
     narrow = df.select(*[col(c).cast(cast).alias(c) for c in cols])

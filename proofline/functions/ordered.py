@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proofline.functions.expressions import col
 from proofline.functions.longform import long_values, value_counts
 from proofline.session import materialize
 
@@ -101,22 +100,20 @@ def _segment_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     margin = 5 / SKETCH_ACCURACY
     lows = [max(p - margin, 0.0) for p in probs]
     highs = [min(p + margin, 1.0) for p in probs]
-    values = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in cols]
-    # one row: two numbers per column and wanted quantile
-    bounds = df.agg(
-        *[F.percentile_approx(v, lows + highs, SKETCH_ACCURACY).alias(f"b{i}") for i, v in enumerate(values)]
-    ).first()
     name, v = F.col("column_name"), F.col("value")
+    cells = long_values(df, cols, "double").where(~F.isnan(v))
+    sketch = F.percentile_approx(v, lows + highs, SKETCH_ACCURACY).alias("bounds")
+    # one row per column, two numbers per wanted quantile
+    bounds = {r["column_name"]: r["bounds"] for r in cells.groupBy("column_name").agg(sketch).collect()}
     segment = inside = F
-    for i, c in enumerate(cols):
-        found = bounds[f"b{i}"] or []
+    for c in cols:
+        found = bounds.get(c, [])
         pairs = list(zip(found[: len(probs)], found[len(probs) :]))
         crossed = reduce(
             lambda a, b: a + b, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in pairs], F.lit(0)
         )
         kept = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs], F.lit(False))
         segment, inside = segment.when(name == c, crossed), inside.when(name == c, kept)
-    cells = long_values(df, cols, "double").where(~F.isnan(v))
     return (
         cells.select("column_name", segment.alias("segment"), F.when(inside, v).alias("value"))
         .groupBy("column_name", "segment", "value")

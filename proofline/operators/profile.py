@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
 from proofline.functions.expressions import DATE_FORMATS, MASK_TOKENS, col
-from proofline.functions.longform import long_values, numeric_columns, rows_of, value_counts
+from proofline.functions.longform import long_values, names_of, numeric_columns, rows_of, value_counts
 from proofline.functions.ordered import exact_quantiles, top_per_group
 
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
@@ -59,7 +59,9 @@ def column_counts(
         texts.append(col(c).cast("string") if is_text else F.lit(None).cast("string"))
     cells = df.select(F.array(*kinds).alias("kinds"), F.posexplode(F.array(*texts)).alias("position", "text"))
     position, text = F.col("position"), F.col("text")
-    kind = F.coalesce(F.get("kinds", position), X.text_class(text, tokens, formats, shapes))
+    kind = X.text_class(text, tokens, formats, shapes)
+    if not all(X.is_string(df, c) for c in cols):
+        kind = F.coalesce(F.get("kinds", position), kind)
     at = {c: i for i, c in enumerate(cols)}
     off = F.lit(False)
     for c, p in patterns.items():
@@ -79,12 +81,7 @@ def column_counts(
             F.count_if(F.col("fmt") == "other").alias("n_fmt_other"),
         )
     )
-    # an empty table has no cells, but its columns are still listed
-    names = df.sparkSession.range(len(cols)).select(
-        F.col("id").cast("int").alias("position"),
-        F.get(F.array(*[F.lit(c) for c in cols]), F.col("id").cast("int")).alias("column_name"),
-    )
-    return names.join(F.broadcast(counts), "position", "left").fillna(0)
+    return names_of(df, cols).join(F.broadcast(counts), "position", "left").fillna(0)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -94,32 +91,21 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
     from a fixed-size sketch in the same pass as the rest.
     """
     cols = list(cols or numeric_columns(df))
-    aggs, entries = [], []
-    for i, name in enumerate(cols):
-        c = col(name).cast("double")
-        c = F.when(~F.isnan(c), c)
-        parts = {
-            "n": F.count(c),
-            "mean": F.avg(c),
-            "stddev": F.stddev_samp(c),
-            "min": F.min(c),
-            "max": F.max(c),
-        }
-        if not exact:
-            parts["q"] = F.percentile_approx(c, list(QUANTILES.values()), 10_000)
-        aggs += [part.alias(f"{key}_{i}") for key, part in parts.items()]
-        entry = {"column_name": F.lit(name)}
-        entry.update({key: F.col(f"{key}_{i}") for key in parts if key != "q"})
-        if not exact:
-            entry.update({q: F.col(f"q_{i}")[j] for j, q in enumerate(QUANTILES)})
-        entries.append(entry)
-    summary = rows_of(df.agg(*aggs), entries)
+    v = F.col("value")
+    parts = {"n": F.count(v), "mean": F.avg(v), "stddev": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+    if not exact:
+        sketch = F.percentile_approx(v, list(QUANTILES.values()), 10_000)
+        parts |= {q: F.get(sketch, F.lit(j)) for j, q in enumerate(QUANTILES)}
+    found = long_values(df, cols, "double").where(~F.isnan(v)).groupBy("column_name").agg(
+        *[part.alias(name) for name, part in parts.items()]
+    )
     if exact:
         wide = exact_quantiles(df, cols, list(QUANTILES.values())).groupBy("column_name").agg(
             *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(q) for q, p in QUANTILES.items()]
         )
         # both sides hold one row per column
-        summary = summary.join(F.broadcast(wide), "column_name", "left")
+        found = found.join(F.broadcast(wide), "column_name", "left")
+    summary = names_of(df, cols).join(F.broadcast(found), "column_name", "left").fillna(0, ["n"])
     return summary.select("column_name", "n", "mean", "stddev", "min", *QUANTILES, "max")
 
 
@@ -208,8 +194,8 @@ def cardinality(
     """Distinct values per column, flagged above ``high``."""
     if exact:
         found = value_counts(df, cols).groupBy("column_name").agg(F.count("*").alias("n_distinct"))
-        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-        found = names.join(F.broadcast(found), "column_name", "left").fillna(0, ["n_distinct"])
+        found = names_of(df, cols).join(F.broadcast(found), "column_name", "left")
+        found = found.select("column_name", "n_distinct").fillna(0, ["n_distinct"])
     else:
         counts = df.agg(
             *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(cols)]
@@ -360,23 +346,25 @@ def column_profile(df: DataFrame, rules: ProfileRules = ProfileRules()) -> DataF
     """One row per column for planning: type, nulls, distinct values, length, sensitivity."""
     cols = df.columns
     nulls = null_profile(df, rules.tokens)
-    lengths = df.agg(
-        *[F.avg(F.length(col(c))).alias(f"l{i}") for i, c in enumerate(cols) if X.is_string(df, c)],
-        *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(cols)],
+    lengths = F.array(*[F.length(col(c)) if X.is_string(df, c) else F.lit(None).cast("int") for c in cols])
+    hashes = F.array(*[F.when(col(c).isNotNull(), F.xxhash64(col(c))) for c in cols])
+    found = (
+        df.select(lengths.alias("lengths"), F.posexplode(hashes).alias("position", "hash"))
+        .groupBy("position")
+        .agg(
+            F.avg(F.get("lengths", F.col("position"))).alias("mean_length"),
+            F.approx_count_distinct("hash").alias("n_distinct"),
+        )
     )
-    entries = [
-        {
-            "column_name": F.lit(c),
-            "data_type": F.lit(df.schema[c].dataType.simpleString()),
-            "mean_length": F.col(f"l{i}") if X.is_string(df, c) else F.lit(None).cast("double"),
-            "n_distinct": F.col(f"d{i}"),
-        }
-        for i, c in enumerate(cols)
-    ]
+    types = F.create_map(*[F.lit(p) for f in df.schema for p in (f.name, f.dataType.simpleString())])
     flags = sensitive_columns(df).select("column_name", "sensitive")
-    # all three hold one row per column
+    # all of them hold one row per column
     return (
-        rows_of(lengths, entries)
+        names_of(df, cols)
+        .withColumn("data_type", F.try_element_at(types, F.col("column_name")))
+        .join(F.broadcast(found), "position", "left")
         .join(F.broadcast(nulls), "column_name")
         .join(F.broadcast(flags), "column_name")
+        .fillna(0, ["n_distinct"])
+        .drop("position")
     )

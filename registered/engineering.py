@@ -8,7 +8,7 @@ from proofline.operators import features as E
 from proofline.operators.clean import rename
 from proofline.operators.evaluate import auc_table
 from proofline.operators.profile import ProfileRules, column_profile, flag_sensitive
-from registered.base import dirty_orders, query, rounded, table, union_all
+from registered.base import DIRTY_ORDERS_SQL, ORDER_COLUMNS, dirty_orders, query, rounded, table, union_all
 
 
 def _parts(c: str, name: str, hour: bool) -> str:
@@ -209,18 +209,17 @@ def built_features(spark, sf):
     return E.features_only(made.withColumns({n: rounded(n) for n in names}), ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
-@query(
-    "data_dictionary",
-    f"WITH {BUILT_SQL} "
-    + union_all(
+DICTIONARY_SQL = union_all(
         [
             f"SELECT 'feat_{s.name}' AS name, '{s.description.replace(chr(39), chr(39) * 2)}' AS description, '{','.join(s.sources)}' AS source_columns, '{s.method}' AS method, "
             f"round(CAST(min(feat_{s.name}) AS DOUBLE), 6) AS min_value, round(CAST(max(feat_{s.name}) AS DOUBLE), 6) AS max_value, count(*) - count(feat_{s.name}) AS n_missing, "
             f"count(*) AS n_rows, '{s.missing}' AS missing_handling FROM g"
             for s in order_line_specs()
         ]
-    ),
-)
+    )
+
+
+@query("data_dictionary", f"WITH {BUILT_SQL} {DICTIONARY_SQL}")
 def data_dictionary(spark, sf):
     made = E.build_features(order_lines(spark, sf), order_line_specs())
     found = E.data_dictionary(made, order_line_specs())
@@ -310,10 +309,17 @@ def planned_features(spark, sf):
 
 @query(
     "planned_features_of_raw_text",
+    f"WITH {DIRTY_ORDERS_SQL} "
+    + union_all(
+        [
+            f"SELECT '{c}' AS column_name, 'string' AS data_type, 'encoding' AS batch, CASE WHEN count(DISTINCT {c}) <= 50 THEN 'one-hot' ELSE 'label codes' END AS method FROM raw"
+            for c in ORDER_COLUMNS
+        ]
+    ),
 )
 def planned_features_of_raw_text(spark, sf):
     profile = column_profile(dirty_orders(spark, sf), ProfileRules(categories=["status"]))
-    return E.plan_features(profile)
+    return E.plan_features(profile).drop("n_distinct")
 
 
 @query(
