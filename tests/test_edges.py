@@ -313,3 +313,43 @@ def test_phrases_overlap(spark):
     assert got == {(1, "go go", 2), (1, "machine learning", 1), (1, "go", 3)}
     terms = spark.createDataFrame([("go go",), ("Machine Learning",), ("go",)], "term string")
     assert got == {(r["k"], r["term"], r["n"]) for r in C.jargon_hits(docs, "k", "t", terms).collect()}
+
+
+def test_fitted_weights_have_no_gradient(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        a, b = rng.gauss(0, 1), rng.gauss(0, 1)
+        rows.append((a, b, int(rng.random() < 1 / (1 + math.exp(-(0.5 + 1.5 * a - b))))))
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    model = M.fit_logit(df, ["a", "b"], "y", max_iter=100)
+    # at the optimum the residuals are orthogonal to every feature
+    left = model.score(df).agg(
+        *[F.avg((F.col("score") - F.col("y")) * x) for x in (F.lit(1.0), F.col("a"), F.col("b"))]
+    ).first()
+    assert all(abs(v) < 1e-4 for v in left)
+
+
+def test_no_plan_pairs_all_rows(spark, sf):
+    from registered.base import QUERIES
+
+    for name in ("full_contract", "quality_issues", "built_features", "canonical_diff", "ranked_match", "histogram"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        for word in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEvalPython"):
+            assert word not in plan, (name, word)
+
+
+def test_hot_entity_gets_its_aggregates(spark):
+    got = E.group_aggregates(skewed(spark), ["k"], {"rows": F.count("*"), "top": F.max("v")})
+    wanted = {r["k"]: (r["n"], r["m"]) for r in skewed(spark).groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("m")).collect()}
+    rows = got.collect()
+    assert len(rows) == 3000
+    assert all((r["feat_rows"], r["feat_top"]) == (wanted[r["k"]] if r["k"] is not None else (None, None)) for r in rows)
+
+
+def test_plan_of_typed_and_nested_columns(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0], "a", float("nan")), (2, None, "", 1.0)], "k int, v array<double>, t string, d double"
+    )
+    got = {r["column_name"]: (r["n_null"], r["n_empty"], r["n_numeric"], r["n_string"]) for r in P.type_profile(df).collect()}
+    assert got == {"k": (0, 0, 2, 0), "v": (1, 0, 0, 1), "t": (0, 1, 0, 1), "d": (1, 0, 1, 0)}
