@@ -34,13 +34,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def join_unique(big: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``big`` to a table with one row per key, neither side small.
 
-    Rows of hot keys are spread over ``SALTS`` partitions by a hash of their content and
-    the few lookup rows of those keys are copied to each. The hash is a function of the
-    row, so a rerun task sends every row to the same place.
+    Rows of hot keys are spread over ``SALTS`` partitions and the few lookup rows of those
+    keys are copied to each. The salt is a hash of the row and of its input partition:
+    copies of a row spread too, and a rerun task sends every row to the same place.
+    ``big`` is read once more for its keys; keep it as a table first if it is costly.
     """
     hot = F.broadcast(hot_keys(big, keys))
     plain = [f.name for f in big.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*plain), F.lit(SALTS))).otherwise(F.lit(0))
+    row = F.xxhash64(F.spark_partition_id(), *plain)
+    spread = F.when(F.col("_hot").isNotNull(), F.pmod(row, F.lit(SALTS))).otherwise(F.lit(0))
     salted = big.join(hot, F.xxhash64(*keys) == F.col("_hot"), "left").withColumn("_salt", spread.cast("int"))
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
         F.array(F.lit(0))

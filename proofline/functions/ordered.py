@@ -159,7 +159,7 @@ def top_per_group(
     """
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > limit:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(64))
+        part = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(64))
         salted = df.withColumn("_part", part)
         w = Window.partitionBy(*group, "_part").orderBy(*order)
         df = salted.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_part")

@@ -37,6 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    named = named or sc.getCheckpointDir()
     if named:
         return named
     if not sc.master.startswith("local"):

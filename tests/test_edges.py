@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from proofline.functions import lookups
 from proofline.functions.expressions import typed
 from proofline.functions.ordered import exact_quantiles, row_numbers, running_totals, top_per_group
@@ -17,6 +18,7 @@ from proofline.operators import contract as C
 from proofline.operators import evaluate as M
 from proofline.operators import features as E
 from proofline.operators import profile as P
+from tests.oracle import connect, difference, from_duck, from_spark
 
 
 def test_profile_of_an_empty_table(spark):
@@ -158,10 +160,6 @@ def no_broadcast(monkeypatch):
 
 
 def test_large_lookup_ways_give_the_same(spark, no_broadcast, sf):
-    from registered.base import QUERIES
-    from tests.oracle import connect, difference, from_duck, from_spark
-    from registered.base import ORACLES
-
     con = connect(sf)
     for name in (
         "unresolved_refs",
@@ -171,8 +169,8 @@ def test_large_lookup_ways_give_the_same(spark, no_broadcast, sf):
         "canonical_values_from_table",
         "group_aggregates",
     ):
-        got = from_spark(QUERIES[name](spark, sf))
-        assert difference(got, from_duck(con, ORACLES[name])) is None, name
+        got = from_spark(queries()[name](spark, sf))
+        assert difference(got, from_duck(con, oracle_sql()[name])) is None, name
 
 
 def test_lookup_size_is_measured(spark):
@@ -331,10 +329,8 @@ def test_fitted_weights_have_no_gradient(spark):
 
 
 def test_no_plan_pairs_all_rows(spark, sf):
-    from registered.base import QUERIES
-
     for name in ("full_contract", "quality_issues", "built_features", "canonical_diff", "ranked_match", "histogram"):
-        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        plan = queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEvalPython"):
             assert word not in plan, (name, word)
 
@@ -353,3 +349,23 @@ def test_plan_of_typed_and_nested_columns(spark):
     )
     got = {r["column_name"]: (r["n_null"], r["n_empty"], r["n_numeric"], r["n_string"]) for r in P.type_profile(df).collect()}
     assert got == {"k": (0, 0, 2, 0), "v": (1, 0, 0, 1), "t": (0, 1, 0, 1), "d": (1, 0, 1, 0)}
+
+
+def test_copies_of_a_hot_row_spread(spark):
+    # a third of the rows are copies of one row, in many input partitions
+    copies = spark.range(0, 4000, 1, 40).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("k")
+    )
+    lookup = spark.range(4000).select(F.col("id").cast("int").alias("k"), (F.col("id") + 1).alias("next"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = lookups.join_unique(copies, lookup, ["k"]).withColumn("task", F.spark_partition_id())
+        sizes = [r["n"] for r in got.groupBy("task").agg(F.count("*").alias("n")).collect()]
+        wrong = got.where("next <> k + 1").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 4000 and wrong == 0
+    # evenly cut, each of the 8 tasks holds 500 rows; unsalted, one would hold over 1600
+    assert max(sizes) < 1000
