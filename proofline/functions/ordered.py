@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proofline.functions import expressions as X
 from proofline.functions.longform import long_values, value_counts
 from proofline.session import materialize
 
@@ -105,14 +106,12 @@ def _segment_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     sketch = F.percentile_approx(v, lows + highs, SKETCH_ACCURACY).alias("bounds")
     # one row per column, two numbers per wanted quantile
     bounds = {r["column_name"]: r["bounds"] for r in cells.groupBy("column_name").agg(sketch).collect()}
-    segment = inside = F
-    for c in cols:
-        found = bounds.get(c, [])
+    # one branch per column; a column without values has no cells to place
+    segment, inside = F.when(name.isNull(), 0), F.when(name.isNull(), False)
+    for c, found in bounds.items():
         pairs = list(zip(found[: len(probs)], found[len(probs) :]))
-        crossed = reduce(
-            lambda a, b: a + b, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in pairs], F.lit(0)
-        )
-        kept = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs], F.lit(False))
+        crossed = X.added([(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in pairs])
+        kept = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs])
         segment, inside = segment.when(name == c, crossed), inside.when(name == c, kept)
     return (
         cells.select("column_name", segment.alias("segment"), F.when(inside, v).alias("value"))

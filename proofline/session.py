@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     # one-row aggregates over wide tables have many fields; keep them generated
     "spark.sql.codegen.maxFields": "1000",
+    # checkpoints whose tables are no longer in use are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 

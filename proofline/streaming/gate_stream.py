@@ -60,7 +60,7 @@ def gate_stream(
         try:
             violations = rule_violations(marked, rules)
             if contract is not None:
-                violations = violations.unionByName(run_contract(batch, contract))
+                violations = violations.unionByName(run_contract(marked.drop("failed_rules"), contract))
             verdict = gate(violations).first()
             folder = f"batch_id={batch_id}"
             broken = F.col("failed_rules") != ""
