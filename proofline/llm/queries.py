@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import bitplanes, packing, tables
+from proofline.llm import bitplanes, cascade, covertree, decontaminate, packing, pii, quality, secrets, simhash, tables
 from proofline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    tables.small_batches(spark)
+    tables.ready(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -38,6 +38,94 @@ def op1_bit_planes(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op2_anchored_pii")
+def op2_anchored_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return _digest(found, base, pii.BASE_KINDS)
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def _digest(found: DataFrame, base: Column, kinds: Sequence[str]) -> DataFrame:
+    """Counts, checksum and list of spans as the results of the span queries have them."""
+    return found.select(
+        "doc_id",
+        *[_count(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(tables.spans_text(base), 256).alias("base_sha256"),
+        tables.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op3_random_indexing")
+def op3_random_indexing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id",
+        (quality.remainder("doc_id") == 0).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        F.col("quality_kept").cast("int").alias("predicted"),
+    )
+
+
+@query("op4_latent_leaks")
+def op4_latent_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("key")
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+_ENDS = " ".join(
+    f"WHEN ('.' || host) LIKE '%.{host}' AND starts_with(path, '{path}') THEN '{host}{path}'"
+    for host, path, _ in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+)
+_BLOCKED = ", ".join(f"'{host}{path}'" for host, path, verdict in URL_RULES if verdict == "block")
+
+
+@query(
+    "op5_bloom_cascade",
+    f"""
+    WITH cut AS (
+        SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), split AS (
+        SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM cut
+    ), parts AS (
+        SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM split
+    ), ruled AS (SELECT page_id, host, path, CASE {_ENDS} END AS rule FROM parts)
+    SELECT page_id, host, path, rule, CASE WHEN rule IN ({_BLOCKED}) THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+    """,
+)
+def op5_bloom_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return cascade.judge(table(spark, sf, "pages"), rules).drop("url")
+
+
+@query("op7_linked_secrets")
+def op7_linked_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.secrets(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return _digest(found, base, list(secrets.BASE))
+
+
+@query("op8_golay_simhash")
+def op8_golay_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 @query("op9_best_fit")
 def op9_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), end_id=2)
+
+
+@query("op10_cover_tree")
+def op10_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return covertree.similar_vectors(table(spark, sf, "embeddings"))
