@@ -306,3 +306,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
             part = tables.stored(words.mapInArrow(_searcher(shared, cosine), schema), "leaks")
             found = part if found is None else found.unionByName(part)
     return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
+    """``docs`` without the rows in which an item of ``benchmark`` is found; all columns are kept."""
+    found = contaminated(docs, benchmark, cosine, rank).select(F.col("doc_id").alias("__doc_id"), F.col("key").alias("__key")).distinct()
+    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (key == F.col("__key"))
+    return docs.join(found, same, "left_anti")

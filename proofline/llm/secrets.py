@@ -90,12 +90,12 @@ def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
 
 
 def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, the spans of each row (start, rank, kind, end) by start and kind, and ``row``.
+    """doc_id, key, the spans of each row (start, rank, kind, end) by start and kind, and ``row``.
 
     Positions are code points and ``end`` is exclusive. A null text is an empty one and has
     an empty list; null and repeated doc_ids give a row for each row; an empty table gives
-    none. Other columns are not looked at. ``row`` numbers the rows of the result in no
-    particular order.
+    none. Other columns are not looked at. ``key`` is a hash of the text, and ``row`` numbers
+    the rows of the result in no particular order.
     """
     named = tables.texts(docs)
     text = F.col("text")
@@ -106,13 +106,13 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
             for kind, rule in WEAK.items()
         ]
     )
-    scanned = named.select("doc_id", base.alias("base"), weak.alias("weak"))
+    scanned = named.select("doc_id", F.xxhash64("text").alias("key"), base.alias("base"), weak.alias("weak"))
     # what a stronger span covers already is no candidate
     fresh = F.filter(
         "weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
     )
     scanned = tables.stored(
-        scanned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", F.when(F.size("weak") > 0, fresh).otherwise(F.col("weak")).alias("weak")),
+        scanned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "base", F.when(F.size("weak") > 0, fresh).otherwise(F.col("weak")).alias("weak")),
         "secrets",
     )
     parts = scanned.where(F.size("weak") > 0).select("row", F.inline(F.concat("base", "weak")))
@@ -126,4 +126,28 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         .agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("linked"))
     )
     spans = F.when(F.col("linked").isNull(), F.col("base")).otherwise(F.concat("base", "linked"))
-    return scanned.join(linked, "row", "left").select("row", "doc_id", F.array_sort(spans).alias("spans"))
+    return scanned.join(linked, "row", "left").select("row", "doc_id", "key", F.array_sort(spans).alias("spans"))
+
+
+def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``docs`` with ``[kind]`` in place of every span of its texts; spans that overlap become one.
+
+    All rows and columns are kept, and a text without spans stays as it is.
+    """
+    found = secrets(docs, scope).where(F.size("spans") > 0)
+    # rows that share doc_id and text have the same spans
+    found = found.groupBy(F.col("doc_id").alias("__doc_id"), F.col("key").alias("__key")).agg(F.first("spans").alias("__spans"))
+    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (key == F.col("__key"))
+    text = docs["text"].cast("string")
+
+    def step(state: Column, span: Column) -> Column:
+        gap = F.substr(text, state["at"] + 1, span["start"] - state["at"])
+        fresh = F.concat(state["made"], gap, F.lit("["), span["kind"], F.lit("]"))
+        made = F.when(span["start"] >= state["at"], fresh).otherwise(state["made"])
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), made.alias("made"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("made"))
+    made = F.aggregate("__spans", start, step, lambda s: F.concat(s["made"], F.substr(text, s["at"] + 1, F.length(text))))
+    joined = docs.join(found, same, "left")
+    return joined.withColumn("text", F.when(F.col("__spans").isNotNull(), made).otherwise(text)).select(*docs.columns)

@@ -311,13 +311,13 @@ def without_near_duplicates(
     first = tables.stored(first.select("first.doc_id", "first.key").distinct(), "kept")
     rows = prints.groupBy("doc_id", "key").agg(F.count("*").alias("n"))
     same = rows["doc_id"].eqNullSafe(first["doc_id"]) & (rows["key"] == first["key"])
-    stay = tables.stored(first.join(rows, same).select(first["doc_id"].alias("_id"), first["key"].alias("_key"), "n"), "kept")
+    stay = tables.stored(first.join(rows, same).select(first["doc_id"].alias("__doc_id"), first["key"].alias("__key"), "n"), "kept")
     text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
     number = docs["doc_id"].cast("long")
     single, repeated = (
-        docs.join(stay.where(many), number.eqNullSafe(F.col("_id")) & (text == F.col("_key")), "left_semi")
+        docs.join(stay.where(many), number.eqNullSafe(F.col("__doc_id")) & (text == F.col("__key")), "left_semi")
         for many in (F.col("n") == 1, F.col("n") > 1)
     )
     # few rows: those that stay although their doc_id and text are not theirs alone
-    repeated = repeated.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "_key"]).drop("_key"))
+    repeated = repeated.withColumn("__key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return single.unionByName(repeated.dropDuplicates(["doc_id", "__key"]).drop("__key"))
