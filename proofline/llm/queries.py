@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import bitplanes, cascade, covertree, decontaminate, packing, pii, quality, secrets, simhash, tables
+from proofline.llm import bitplanes, cascade, covertree, decontaminate, licenses, packing, pii, quality, secrets, simhash, tables
 from proofline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,11 @@ def op5_bloom_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return cascade.judge(table(spark, sf, "pages"), rules).drop("url")
 
 
+@query("op6_sentence_rules")
+def op6_sentence_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf, "documents"))
+
+
 @query("op7_linked_secrets")
 def op7_linked_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.secrets(table(spark, sf, "documents"))

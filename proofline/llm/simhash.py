@@ -295,29 +295,3 @@ def near_duplicates(
     return prints.join(classes.drop("root"), "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def without_near_duplicates(
-    docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED
-) -> DataFrame:
-    """``docs`` with one row of each component, that with the least doc_id.
-
-    Null doc_ids come last; among rows that share the doc_id the one with the least hash of
-    its text stays, and of rows that share that too, any one. All columns are kept.
-    """
-    prints, classes = _classes(docs, words, max_bits, seed)
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
-    first = prints.join(classes, "fingerprint").groupBy("root").agg(F.min(order).alias("first"))
-    first = tables.stored(first.select("first.doc_id", "first.key").distinct(), "kept")
-    rows = prints.groupBy("doc_id", "key").agg(F.count("*").alias("n"))
-    same = rows["doc_id"].eqNullSafe(first["doc_id"]) & (rows["key"] == first["key"])
-    stay = tables.stored(first.join(rows, same).select(first["doc_id"].alias("__doc_id"), first["key"].alias("__key"), "n"), "kept")
-    text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    number = docs["doc_id"].cast("long")
-    single, repeated = (
-        docs.join(stay.where(many), number.eqNullSafe(F.col("__doc_id")) & (text == F.col("__key")), "left_semi")
-        for many in (F.col("n") == 1, F.col("n") > 1)
-    )
-    # few rows: those that stay although their doc_id and text are not theirs alone
-    repeated = repeated.withColumn("__key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "__key"]).drop("__key"))

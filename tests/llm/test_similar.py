@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from proofline.llm import covertree, simhash
+from proofline.llm import covertree, neardups, simhash
 from proofline.llm.components import components, forest
 from proofline.llm.queries import QUERIES
 
@@ -112,12 +112,58 @@ def test_near_duplicates_of_odd_rows(docs_of):
 
 
 def test_one_row_of_each_component_stays(docs_of):
-    docs = docs_of(ODD, extra="key long, component_id long, n long, first string")
-    kept = simhash.without_near_duplicates(docs)
+    docs = docs_of(ODD, extra="key long, component_id long, node long, first string")
+    kept = neardups.without_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 5, 8]
     unnamed = docs_of([(None, "x y z"), (None, "x y z"), (None, "other words here")])
-    assert sorted(r["text"] for r in simhash.without_near_duplicates(unnamed).collect()) == ["other words here", "x y z"]
+    assert sorted(r["text"] for r in neardups.without_near_duplicates(unnamed).collect()) == ["other words here", "x y z"]
+    assert neardups.without_near_duplicates(docs.where("false")).count() == 0
+
+
+def shingles_of(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("block", [200_000, 2000])
+def test_groups_of_near_copies(spark, docs_of, monkeypatch, block):
+    monkeypatch.setattr(neardups, "BLOCK_SHINGLES", block)
+    draw = random.Random(12)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(4000)]
+    rows, number = [], 0
+    for _ in range(25):
+        base = draw.choices(vocabulary, k=draw.randint(120, 300))
+        for _ in range(draw.choice([1, 2, 5, 25])):
+            words = list(base)
+            for _ in range(draw.choice([0, 1, 2])):
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            rows.append((number, " ".join(words)))
+            number += 1
+    sets = [shingles_of(t) for _, t in rows]
+    linked = np.array([[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets])
+    want = sorted(set(least_reachable(linked, range(len(rows)))))
+    assert len(want) < len(rows) / 2
+    got = sorted(r["doc_id"] for r in neardups.without_near_duplicates(docs_of(rows)).collect())
+    # candidates are found by fingerprints, which may miss a few
+    assert set(want) <= set(got)
+    assert len(got) - len(want) <= 0.02 * len(rows)
+
+
+def test_similar_pairs_equal_all_pairs():
+    draw = np.random.default_rng(1)
+    for _ in range(20):
+        base = draw.choice(2**62, 400, replace=False).astype(np.uint64)
+        sets = []
+        for _ in range(30):
+            own = base[draw.random(400) < draw.choice([0.6, 0.9, 0.97])]
+            sets.append(np.unique(np.concatenate([own, draw.choice(2**62, draw.integers(0, 40)).astype(np.uint64)])))
+        linked = np.array([[len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)) for b in sets] for a in sets])
+        few = np.zeros_like(linked)
+        for i, j in neardups.similar_pairs(sets, 0.8):
+            few[i, j] = few[j, i] = True
+            assert linked[i, j]
+        assert least_reachable(linked, range(30)) == least_reachable(few, range(30))
 
 
 def test_query_of_simhash(spark, sf):
