@@ -10,8 +10,8 @@ what comes near is aligned by the longest common subsequence of words, which see
 changed, left-out and added words, and weaker alignments count only if the item's answer is
 there.
 
-A window is projected only if the weight of its benchmark words could reach the cosine at
-all, a bound that cannot lose a candidate.
+A window is projected only if the most that each of its words can bring to any item adds
+up to the cosine, a bound that cannot lose a candidate.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ BUCKETS = 1 << 16
 RANK, MORE = 256, 16
 # words of a window; windows begin every half of that
 WINDOWS = (16, 32)
-COSINE = 0.35
+COSINE = 0.4
+# windows that are projected together
+WINDOWS_AT_ONCE = 4096
 # items with fewer words are too short to tell
 LEAST_WORDS = 5
 # the share of an item's words that a document has in order: enough alone, or with the answer
@@ -200,39 +202,63 @@ class _Search:
             latent.append(values @ directions[self.row[at]])
         latent = np.stack(latent)
         self.latent = (latent / np.maximum(1e-12, np.linalg.norm(latent, axis=1, keepdims=True))).astype(np.float32)
+        # what a word of each bucket brings to a window's product with an item at most
+        best = np.full(len(buckets), -np.inf, np.float32)
+        for at in range(0, len(self.latent), 1024):
+            best = np.maximum(best, (self.directions @ self.latent[at : at + 1024].T).max(axis=1))
+        # what each word brings: to every item if they are few, else to every direction
+        self.brings = self.directions * self.weights[buckets, None]
+        self.few = len(self.latent) <= self.latent.shape[1]
+        if self.few:
+            self.brings = self.brings @ self.latent.T
+        self.most = np.zeros(BUCKETS)
+        self.most[buckets] = np.maximum(best, 0) * self.weights[buckets]
+        self.squares = self.weights.astype(np.float64) ** 2
 
     def candidates(self, words: np.ndarray, cosine: float) -> list[tuple[int, int, int, float]]:
         """(item, first word, last word, cosine) of the windows of one document that come near an item.
 
         A word counts once in a window but lengthens it as often as it occurs.
         """
-        if not len(words):
-            return []
         buckets = _bucket(words)
-        squares = self.weights[buckets].astype(np.float64) ** 2
-        rows = self.row[buckets]
-        total = np.concatenate([[0.0], np.cumsum(squares)])
-        known = np.concatenate([[0.0], np.cumsum(np.where(rows >= 0, squares, 0.0))])
+        total = np.concatenate([[0.0], np.cumsum(self.squares[buckets])])
+        most = np.concatenate([[0.0], np.cumsum(self.most[buckets])])
         found = []
         for size in WINDOWS:
             starts = np.arange(0, max(1, len(words) - size // 2), size // 2)
             ends = np.minimum(starts + size, len(words))
-            lengths = total[ends] - total[starts]
-            # the projection is no longer than the window's part that items have words for
-            able = known[ends] - known[starts] >= cosine**2 * lengths * (1 - 1e-6)
-            for start, end, length in zip(starts[able].tolist(), ends[able].tolist(), lengths[able].tolist()):
-                inside = rows[start:end]
-                some = np.unique(buckets[start:end][inside >= 0])
-                if not len(some):
-                    continue
-                point = self.weights[some] @ self.directions[self.row[some]]
-                near = self.latent @ point / math.sqrt(length)
-                found += [(int(i), start, end, float(near[i])) for i in np.flatnonzero(near >= cosine)]
+            lengths = np.sqrt(total[ends] - total[starts])
+            # no item can be nearer than the words bring at most
+            able = np.flatnonzero(most[ends] - most[starts] >= cosine * lengths * (1 - 1e-5))
+            for part in np.array_split(able, len(able) // WINDOWS_AT_ONCE + 1):
+                if len(part):
+                    found += self._near(buckets, starts[part], ends[part], lengths[part], cosine)
         return found
 
+    def _near(self, buckets: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, cosine: float):
+        sizes = ends - starts
+        window = np.repeat(np.arange(len(starts)), sizes)
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
+        here = buckets[at]
+        known = self.row[here] >= 0
+        # each bucket once in a window
+        once = np.unique(window[known] * BUCKETS + here[known])
+        window, here = once // BUCKETS, once & (BUCKETS - 1)
+        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]])) if len(once) else once
+        if not len(first):
+            return []
+        points = np.add.reduceat(self.brings[self.row[here]], first, axis=0)
+        number = window[first]
+        near = (points if self.few else points @ self.latent.T) / lengths[number, None]
+        which, items = np.nonzero(near >= cosine)
+        number = number[which]
+        return list(zip(items.tolist(), starts[number].tolist(), ends[number].tolist(), near[which, items].tolist()))
+
     def matches(self, words: np.ndarray, cosine: float) -> dict[int, tuple[float, float, float]]:
         """For each item that is aligned with the document: cosine, share of its words, share of its answer."""
         best: dict[int, tuple[float, float, float]] = {}
+        if not len(words):
+            return best
         for item, start, end, near in self.candidates(words, cosine):
             own = self.words[item]
             region = words[max(0, start - len(own)) : end + len(own)].tolist()
