@@ -131,6 +131,19 @@ def op9_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), end_id=2)
 
 
-@query("op10_cover_tree")
+@query(
+    "op10_cover_tree",
+    """
+    WITH RECURSIVE vectors AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    valid AS MATERIALIZED (
+        SELECT vec_id, e FROM vectors WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+    ), links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+    ), reached(a, b) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+    least AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a), counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM least LEFT JOIN counts USING (vec_id)
+    """,
+)
 def op10_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
     return covertree.similar_vectors(table(spark, sf, "embeddings"))

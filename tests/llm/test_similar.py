@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 
 from proofline.llm import covertree, neardups, simhash
 from proofline.llm.components import components, forest
-from proofline.llm.queries import QUERIES
+from proofline.llm.queries import ORACLES, QUERIES
+from tests.oracle import connect, difference, from_duck, from_spark
 
 
 def least_reachable(linked, ids):
@@ -261,4 +262,6 @@ def test_dual_traversal(seed, leaf, cosine):
 
 def test_query_of_vectors(spark, sf):
     table = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
-    check_vectors(QUERIES["op10_cover_tree"](spark, sf).collect(), {r["vec_id"]: r["embedding"] for r in table})
+    found = QUERIES["op10_cover_tree"](spark, sf)
+    check_vectors(found.collect(), {r["vec_id"]: r["embedding"] for r in table})
+    assert difference(from_spark(found), from_duck(connect(sf), ORACLES["op10_cover_tree"])) is None
