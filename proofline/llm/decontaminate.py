@@ -31,7 +31,7 @@ BUCKETS = 1 << 16
 RANK, MORE = 256, 16
 # words of a window; windows begin every half of that
 WINDOWS = (16, 32)
-COSINE = 0.4
+COSINE = 0.35
 # windows that are projected together
 WINDOWS_AT_ONCE = 4096
 # items with fewer words are too short to tell
