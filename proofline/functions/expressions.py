@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MASK_TOKENS = ("?",)
+# the column of a raw scan that holds the text of rows with too few or too many cells
+MALFORMED = "_malformed"
+# what counts as white space everywhere: the signs that \s stands for
+BLANKS = " \t\n\x0b\f\r"
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd")
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -43,36 +47,63 @@ def is_temporal(df: DataFrame, name: str) -> bool:
     return isinstance(dtype(df, name), (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.trim(c, F.lit(BLANKS))
+
+
+def present(df: DataFrame, name: str) -> Column:
+    """The value of a column, NULL where it is missing; NaN is missing."""
+    c = col(name)
+    return F.nanvl(c, F.lit(None)) if isinstance(dtype(df, name), (T.DoubleType, T.FloatType)) else c
+
+
 def date_regex(fmt: str) -> str:
-    """The shape of a date format as a pattern: every letter stands for one digit."""
-    shape = "".join(r"\d" if ch.isalpha() else re.escape(ch) for ch in fmt)
+    """The shape of a date format as a pattern.
+
+    A run of one letter is a number of one or two digits, a longer run has as many
+    digits; three or more of M, L or E are a name. Text in quotes stands for itself.
+    """
+    shape = ""
+    for m in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|(.)", fmt, re.S):
+        quoted, run, other = m.group(1), m.group(2), m.group(4)
+        if run and run[0] in "MLE" and len(run) > 2:
+            shape += r"\p{L}+\.?"
+        elif run and run[0] == "a":
+            shape += r"[AaPp][Mm]"
+        elif run in ("y", "u"):
+            shape += r"\d+"
+        elif run:
+            shape += r"\d{1,2}" if len(run) == 1 and run != "S" else rf"\d{{{len(run)}}}"
+        else:
+            shape += re.escape(quoted or other)
     return rf"^\s*{shape}\s*$"
 
 
 def parsed_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The date in the first format that fits, else NULL."""
-    tries = [F.when(c.rlike(date_regex(f)), F.try_to_date(F.trim(c), f)) for f in formats]
+    tries = [F.when(c.rlike(date_regex(f)), F.try_to_date(trimmed(c), f)) for f in formats]
     return F.coalesce(*tries)
 
 
 def matched_format(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Name of the first date format that fits; ``missing`` or ``other`` where none does."""
-    ladder = F.when(c.isNull() | (F.trim(c) == ""), F.lit("missing"))
+    ladder = F.when(c.isNull() | (trimmed(c) == ""), F.lit("missing"))
     for f in formats:
-        fits = c.rlike(date_regex(f)) & F.try_to_date(F.trim(c), f).isNotNull()
+        fits = c.rlike(date_regex(f)) & F.try_to_date(trimmed(c), f).isNotNull()
         ladder = ladder.when(fits, F.lit(f))
     return ladder.otherwise(F.lit("other"))
 
 
 def is_masked(c: Column, tokens: Sequence[str] = MASK_TOKENS) -> Column:
-    return F.trim(c).isin(*tokens) if tokens else F.lit(False)
+    return trimmed(c).isin(*tokens) if tokens else F.lit(False)
 
 
 def text_class(
     c: Column, tokens: Sequence[str] = (), formats: Sequence[str] = DATE_FORMATS, shapes: bool = True
 ) -> Column:
     """Class of a text value by its shape: null, empty, masked, numeric, date or string."""
-    ladder = F.when(c.isNull(), NULL).when(F.trim(c) == "", EMPTY)
+    ladder = F.when(c.isNull(), NULL).when(trimmed(c) == "", EMPTY)
     if tokens:
         ladder = ladder.when(is_masked(c, tokens), MASKED)
     if shapes:
@@ -99,9 +130,9 @@ def typed(c: Column, type_name: str, formats: Sequence[str] = DATE_FORMATS) -> C
     if type_name == "date":
         return parsed_date(c, formats)
     if type_name in INTEGRAL_TYPES:
-        return F.when(c.rlike(INTEGER), F.trim(c)).try_cast(type_name)
+        return F.when(c.rlike(INTEGER), trimmed(c)).try_cast(type_name)
     if type_name.split("(")[0] in NUMERIC_TYPES:
-        return F.when(c.rlike(NUMBER), F.trim(c)).try_cast(type_name)
+        return F.when(c.rlike(NUMBER), trimmed(c)).try_cast(type_name)
     return c.try_cast(type_name)
 
 
@@ -111,7 +142,7 @@ def unmasked(c: Column, tokens: Sequence[str] = MASK_TOKENS) -> Column:
 
 def folded(c: Column, style: str = "lower") -> Column:
     fold = {"lower": F.lower, "upper": F.upper, "title": F.initcap}[style]
-    return fold(F.trim(c))
+    return fold(trimmed(c))
 
 
 def tokens_of(c: Column) -> Column:

@@ -12,8 +12,12 @@ from proofline.functions import expressions as X
 from proofline.functions.longform import long_values, value_counts
 from proofline.session import materialize
 
-# the sketch is off by at most one rank in this many; brackets reach five times as far
-SKETCH_ACCURACY = 10_000
+# size of the quantile sketches, whose ranks are off by about a thousandth, and how far
+# the brackets around a wanted rank reach
+SKETCH_SIZE = 4096
+MARGIN = 0.005
+# sketches of one column that are merged side by side before their results meet
+SKETCH_PARTS = 512
 
 
 def running_totals(
@@ -96,16 +100,29 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
 
 
+def sketched_quantiles(cells: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column_name, quantiles): about these quantiles of the values of each column.
+
+    Every map task sends one sketch per column. They are merged in ``SKETCH_PARTS`` parts
+    first, so that no task merges those of all map tasks.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS))
+    parts = cells.withColumn("__part", part).groupBy("column_name", "__part").agg(
+        F.kll_sketch_agg_double("value", SKETCH_SIZE).alias("sketch")
+    )
+    merged = parts.groupBy("column_name").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    ranks = F.array(*[F.lit(float(p)) for p in probs])
+    return merged.select("column_name", F.kll_sketch_get_quantile_double("sketch", ranks).alias("quantiles"))
+
+
 def _segment_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(column_name, segment, value, n): counts by value inside the brackets, by segment elsewhere."""
-    margin = 5 / SKETCH_ACCURACY
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
+    lows = [max(p - MARGIN, 0.0) for p in probs]
+    highs = [min(p + MARGIN, 1.0) for p in probs]
     name, v = F.col("column_name"), F.col("value")
     cells = long_values(df, cols, "double").where(~F.isnan(v))
-    sketch = F.percentile_approx(v, lows + highs, SKETCH_ACCURACY).alias("bounds")
     # one row per column, two numbers per wanted quantile
-    bounds = {r["column_name"]: r["bounds"] for r in cells.groupBy("column_name").agg(sketch).collect()}
+    bounds = {r["column_name"]: r["quantiles"] for r in sketched_quantiles(cells, lows + highs).collect()}
     # one branch per column; a column without values has no cells to place
     segment, inside = F.when(name.isNull(), 0), F.when(name.isNull(), False)
     for c, found in bounds.items():

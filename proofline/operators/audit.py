@@ -52,7 +52,8 @@ def recurring(log: DataFrame, by: Sequence[str], run: str, k: int) -> DataFrame:
 
 def run_manifest(runs: DataFrame, fields: Sequence[str], at: str) -> DataFrame:
     """One row per distinct setting, with its fingerprint and its repeats in time."""
-    record = F.concat_ws("\u001f", *[F.coalesce(col(f).cast("string"), F.lit("\u0000")) for f in fields])
+    # the JSON form keeps NULL apart from any text and shows where a field ends
+    record = F.to_json(F.struct(*[col(f).cast("string").alias(f) for f in fields]), {"ignoreNullFields": "false"})
     counted = runs.groupBy(*fields).agg(
         F.count("*").alias("n_runs"), F.min(at).alias("first_at"), F.max(at).alias("last_at")
     )

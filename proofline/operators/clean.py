@@ -7,18 +7,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from proofline.functions import expressions as X
-from proofline.functions.expressions import DATE_FORMATS, MASK_TOKENS, col
-from proofline.functions.longform import rows_of, value_counts
-from proofline.functions.lookups import BROADCAST_ROWS, lookup_join
-from proofline.functions.ordered import exact_quantiles, top_per_group
+from proofline.functions.expressions import DATE_FORMATS, MALFORMED, MASK_TOKENS, col
+from proofline.functions.longform import rows_of
+from proofline.functions.lookups import lookup_join
+from proofline.functions.ordered import exact_quantiles
 from proofline.operators.profile import null_profile
+from proofline.session import materialize
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str], header: Sequence[str] | None = None) -> DataFrame:
-    """New names from a mapping; with ``header``, names of a raw scan by position."""
+    """New names from a mapping; with ``header``, names of the cells of a raw scan by position."""
+    if header is not None:
+        df = df.drop(MALFORMED)
     names = [mapping.get(n, n) for n in (header or df.columns)]
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
@@ -44,17 +46,22 @@ def normalize_dates(df: DataFrame, name: str, formats: Sequence[str] = DATE_FORM
 def canonicalize(df: DataFrame, name: str, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
     """Map values to their canonical form; values outside the mapping stay.
 
-    A mapping given as a table has the columns ``value`` and ``canonical``.
+    A mapping given as a table has the columns ``value`` and ``canonical``, of any size; a
+    value with several canonical forms takes the least (see ``contradictory``).
     """
     if isinstance(mapping, Mapping):
-        if len(mapping) > BROADCAST_ROWS:
-            raise ValueError("give a mapping of this size as a table")
         mapping = df.sparkSession.createDataFrame(
             list(mapping.items()), "value string, canonical string"
         )
-    lookup = mapping.groupBy("value").agg(F.min("canonical").alias("_canonical"))
-    joined = lookup_join(df.withColumn("value_", col(name)), lookup.withColumnRenamed("value", "value_"), ["value_"])
-    return joined.withColumn(name, F.coalesce("_canonical", col(name))).select(*[col(c) for c in df.columns])
+    lookup = mapping.groupBy(F.col("value").alias("__value")).agg(F.min("canonical").alias("__canonical"))
+    joined = lookup_join(df.withColumn("__value", col(name)), materialize(lookup), ["__value"])
+    return joined.withColumn(name, F.coalesce("__canonical", col(name))).select(*[col(c) for c in df.columns])
+
+
+def contradictory(mapping: DataFrame) -> DataFrame:
+    """Values that a mapping (value, canonical) gives several canonical forms, with the number of them."""
+    forms = mapping.groupBy("value").agg(F.count_distinct("canonical").alias("n_forms"), F.min("canonical").alias("used"))
+    return forms.where(F.col("n_forms") > 1)
 
 
 def fold_case(df: DataFrame, cols: Sequence[str], style: str = "lower") -> DataFrame:
@@ -63,17 +70,14 @@ def fold_case(df: DataFrame, cols: Sequence[str], style: str = "lower") -> DataF
 
 
 def is_missing(df: DataFrame, name: str) -> Column:
-    c = col(name)
-    if isinstance(X.dtype(df, name), (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+    return X.present(df, name).isNull()
 
 
 def fill_values(df: DataFrame, strategies: Mapping[str, object]) -> dict[str, Column]:
     """Fill value per column, as one-row subqueries over ``df``.
 
     Strategies: ``mean``, ``median``, ``mode`` or ``("constant", value)``. The median is
-    exact and the mode is the least of the most frequent values.
+    exact and the mode is the least of the most frequent values, as numbers or dates if they are.
     """
     fills: dict[str, Column] = {}
     by_kind: dict[str, list[str]] = {"mean": [], "median": [], "mode": []}
@@ -90,9 +94,12 @@ def fill_values(df: DataFrame, strategies: Mapping[str, object]) -> dict[str, Co
         found = exact_quantiles(df, by_kind["median"], [0.5])
         fills.update(_per_column(found, by_kind["median"]))
     if by_kind["mode"]:
-        counts = value_counts(df, by_kind["mode"]).where(F.col("value") != "NaN")
-        found = top_per_group(counts, ["column_name"], [F.desc("n"), F.asc("value")], 1)
-        fills.update(_per_column(found, by_kind["mode"]))
+        for c in by_kind["mode"]:
+            # one column at a time, so that ties are broken in the order of its own type
+            counts = df.select(X.present(df, c).alias("value")).where(F.col("value").isNotNull())
+            counts = counts.groupBy("value").agg(F.count("*").alias("n"))
+            found = counts.agg(F.min_by(F.struct("value"), F.struct((-F.col("n")).alias("n"), "value")).alias("v"))
+            fills[c] = found.scalar()["value"]
     return {c: fills[c].cast(X.dtype(df, c)) for c in strategies}
 
 
@@ -176,6 +183,61 @@ def change_log(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return rows_of(staged.agg(*aggs), entries)
 
 
+# Why a fill or a rename is made, in the words of the log.
+FILLED_WHY = "a model or a sum needs a value in every row"
+RENAMED_WHY = "the name should say what the column holds"
+FILLED_BY = {"mean": "the mean", "median": "the median", "mode": "the mode"}
+
+
+def rename_log(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    """D9 for renames: one entry per renamed column, in the form of ``change_log``."""
+    return rows_of(
+        df.agg(F.count("*").alias("n_rows")),
+        [_log_entry(new, f"renamed from {old}", RENAMED_WHY, F.lit(0)) for old, new in mapping.items() if old != new],
+    )
+
+
+def fill_log(df: DataFrame, strategies: Mapping[str, object]) -> DataFrame:
+    """D9 for imputation: one entry per filled column of ``df``, the table before it is filled."""
+    aggs = [F.count_if(is_missing(df, c)).alias(f"filled_{i}") for i, c in enumerate(strategies)]
+    return rows_of(
+        df.agg(F.count("*").alias("n_rows"), *aggs),
+        [
+            _log_entry(c, f"missing values filled by {FILLED_BY.get(str(s), 'a constant')}", FILLED_WHY, F.col(f"filled_{i}"))
+            for i, (c, s) in enumerate(strategies.items())
+        ],
+    )
+
+
+def drop_log(before: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """D9 for dropped rows: how many rows of ``before`` lack a value in one of the columns."""
+    cols = list(cols or before.columns)
+    gone = F.exists(F.array(*[col(c).isNull() for c in cols]), lambda x: x)
+    return rows_of(
+        before.agg(F.count("*").alias("n_rows"), F.count_if(gone).alias("gone")),
+        [_log_entry(",".join(cols), "rows with missing values dropped", "only whole rows can be used", F.lit(0)) | {"n_changed": F.col("gone")}],
+    )
+
+
+def _log_entry(column: str, what: str, why: str, filled: Column) -> dict[str, Column]:
+    return {
+        "seq": F.lit(0),
+        "column_name": F.lit(column),
+        "what": F.lit(what),
+        "why": F.lit(why),
+        "n_rows": F.col("n_rows"),
+        "n_changed": filled.cast("bigint"),
+        "n_nulled": F.lit(0).cast("bigint"),
+        "n_filled": filled.cast("bigint"),
+    }
+
+
+def transformation_report(changes: DataFrame, confidences: DataFrame) -> DataFrame:
+    """The change log with the confidence in each change (E13); its proposals are ``column: what``."""
+    named = changes.withColumn("proposal", F.concat_ws(": ", "column_name", "what"))
+    return named.join(confidences.select("proposal", "score", "band"), "proposal", "left").drop("proposal")
+
+
 def mistake_log(
     df: DataFrame,
     key: str,
@@ -190,7 +252,7 @@ def mistake_log(
     cells = []
     for name, type_name in types.items():
         raw = X.unmasked(col(name), tokens)
-        open_ = raw.isNotNull() & (F.trim(raw) != "") & X.typed(raw, type_name, formats).isNull()
+        open_ = raw.isNotNull() & (X.trimmed(raw) != "") & X.typed(raw, type_name, formats).isNull()
         cells.append(
             F.when(
                 open_,

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
-from proofline.functions.expressions import DATE_FORMATS, col
+from proofline.functions.expressions import DATE_FORMATS, MALFORMED, col
 from proofline.functions.longform import rows_of
-from proofline.functions.lookups import BROADCAST_ROWS, fits_broadcast, join_unique
+from proofline.functions.lookups import fits_broadcast, join_unique, lookup_join
 from proofline.operators.profile import column_counts, null_profile, share, spelling_counts
 from proofline.session import materialize
 
@@ -22,12 +22,16 @@ MIXED_MESSAGE = "Column '{}' has mixed types ({})"
 PASSED_REASON = "All handoff contract checks passed."
 JOINED_BY = "; "
 
-CHECKS = ("duplicate_columns", "mixed_types", "formats", "size", "missing", "casing")
+CHECKS = ("structure", "row_shape", "duplicate_columns", "mixed_types", "formats", "size", "missing", "casing")
 
 
 @dataclass(frozen=True)
 class Contract:
-    """The rules of a hand-off. Duplicate names and mixed types are always checked."""
+    """The rules of a hand-off. Row shapes, duplicate names and mixed types are always checked.
+
+    A column that a rule names and the table lacks is a violation of its structure. Rules of
+    a name hold for every column of that name.
+    """
 
     case_sensitive: bool = True
     patterns: Mapping[str, str] = field(default_factory=dict)
@@ -39,9 +43,16 @@ class Contract:
     tokens: Sequence[str] = ()
     categories: Sequence[str] = ()
     warn: Sequence[str] = ()
+    # columns that must be there, with the type that their values must have (None: any)
+    required: Mapping[str, str | None] = field(default_factory=dict)
+
+    def named(self) -> list[str]:
+        """The columns that some rule names."""
+        return list(dict.fromkeys([*self.required, *self.patterns, *self.date_columns, *self.categories]))
 
     def active(self) -> list[str]:
         on = {
+            "structure": bool(self.named()),
             "formats": bool(self.patterns or self.date_columns),
             "size": any(b is not None for b in (*self.rows, *self.columns)),
             "missing": self.max_missing is not None,
@@ -208,16 +219,21 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
     One scan serves every rule but casing, which needs a shuffle of the distinct
     category values.
     """
-    header = list(header or df.columns)
-    # rules of a name look at its first column
-    at = {name: df.columns[i] for i, name in reversed(list(enumerate(header)))}
+    cells = [c for c in df.columns if c != MALFORMED]
+    header = list(header or cells)
+    # rules of a name look at all of its columns
+    at: dict[str, list[str]] = {}
+    for name, c in zip(header, cells):
+        at.setdefault(name, []).append(c)
     counts = column_counts(
         df,
-        df.columns,
+        cells,
         contract.tokens,
         contract.formats,
-        patterns={at[n]: p for n, p in contract.patterns.items()},
-        date_columns=[at[n] for n in contract.date_columns],
+        patterns={c: p for n, p in contract.patterns.items() for c in at.get(n, [])},
+        date_columns=[c for n in contract.date_columns for c in at.get(n, [])],
+        typed={c: t for n, t in contract.required.items() if t for c in at.get(n, [])},
+        malformed=MALFORMED if MALFORMED in df.columns else None,
     )
     per_name = _pooled(counts, header)
     column = F.concat(F.lit("Column '"), F.col("column_name"), F.lit("'"))
@@ -238,6 +254,15 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
     opened, closed = after.split("{}")
     mixed = F.concat(F.lit(before), F.col("column_name"), F.lit(opened), kinds_text, F.lit(closed))
     entries = [entry("mixed_types", X.added(list(kinds.values())), kinds_text.contains("+"), mixed)]
+    wanted = {n: t for n, t in contract.required.items() if t}
+    if wanted:
+        types = F.create_map(*[F.lit(part) for item in wanted.items() for part in item])
+        off = F.concat(column, F.lit(" has "), F.col("n_untyped"), F.lit(" values that are no "), F.try_element_at(types, F.col("column_name")))
+        entries.append(entry("structure", F.col("n_untyped"), F.col("n_untyped") > 0, off))
+    if MALFORMED in df.columns:
+        ragged = F.concat(F.lit("Table has "), F.col("n_malformed"), F.lit(" rows with too few or too many cells"))
+        shown = (F.col("position") == 0) & (F.col("n_malformed") > 0)
+        entries.append(entry("row_shape", F.col("n_malformed"), shown, ragged, of_table=True))
     if contract.patterns:
         pairs = F.create_map(*[F.lit(part) for item in contract.patterns.items() for part in item])
         pattern = F.try_element_at(pairs, F.col("column_name"))
@@ -264,6 +289,15 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
 
     keys = [n if contract.case_sensitive else n.lower() for n in header]
     repeated = [header[keys.index(k)] for k in dict.fromkeys(keys) if keys.count(k) > 1]
+    lacking = [n for n in contract.named() if n not in at]
+    if lacking:
+        rows = [
+            (CHECKS.index("structure"), "structure", n, 0, "warn" if "structure" in contract.warn else "block", f"Column '{n}' is missing")
+            for n in lacking
+        ]
+        found = found.unionByName(
+            df.sparkSession.createDataFrame(rows, "seq int, check string, column_name string, n bigint, severity string, message string")
+        )
     if repeated:
         named = X.quoted_list(F.array(*[F.lit(n) for n in repeated]))
         duplicates = df.sparkSession.range(1).select(
@@ -279,9 +313,11 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
             ]
         )
         found = found.unionByName(duplicates)
-    if contract.categories:
-        renamed = df.select(*[col(at[c]).alias(c) for c in contract.categories])
-        casing = check_casing(renamed, contract.categories).select(
+    categories = [c for n in contract.categories for c in at.get(n, [])]
+    if categories:
+        names = F.create_map(*[F.lit(part) for n in contract.categories for c in at.get(n, []) for part in (c, n)])
+        casing = check_casing(df, categories).withColumn("column_name", F.element_at(names, F.col("column_name")))
+        casing = casing.groupBy("column_name").agg(F.sum("n_rows").alias("n_rows")).select(
             *[
                 c.alias(name)
                 for name, c in entry(
@@ -341,14 +377,14 @@ def unresolved_refs(
 ) -> DataFrame:
     """Citations in the text that no artifact of the index answers.
 
-    A small index is broadcast. For a large one the citations, counted per document,
+    A small index is broadcast, after it was kept as a table and measured. For a large one the citations, counted per document,
     are kept as a table before the join, so the texts are read once and a much cited
     artifact is spread as a hot key.
     """
     cited = docs.select(
         col(key), F.explode(F.regexp_extract_all(col(text), F.lit(pattern), F.lit(1))).alias("ref")
     )
-    known = index.select(col(ref).alias("ref")).where(F.col("ref").isNotNull()).distinct()
+    known = materialize(index.select(col(ref).alias("ref")).where(F.col("ref").isNotNull()).distinct())
     small = fits_broadcast(known)
     if small:
         cited = cited.join(F.broadcast(known), "ref", "left_anti")
@@ -362,20 +398,19 @@ def unresolved_refs(
 def check_json_keys(
     df: DataFrame, key: str, type_col: str, json_col: str, required: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """C11: rows whose JSON is not a valid object or lacks a required top-level key."""
-    if len(required) > BROADCAST_ROWS:
-        raise ValueError("too many types for one expression; check them in several calls")
-    lookup = F.create_map(
-        *[part for t, keys in required.items() for part in (F.lit(t), F.array(*[F.lit(k) for k in keys]))]
+    """C11: rows whose JSON is not a valid object, lacks a required top-level key, or has a type that no rule knows."""
+    rules = df.sparkSession.createDataFrame(
+        [(t, list(keys)) for t, keys in required.items()], "__type string, wanted array<string>"
     )
-    staged = df.select(
-        col(key),
-        col(type_col),
-        F.json_object_keys(col(json_col)).alias("found"),
-        F.try_element_at(lookup, col(type_col)).alias("wanted"),
+    staged = lookup_join(df.withColumn("__type", col(type_col)), rules, ["__type"]).select(
+        col(key), col(type_col), F.json_object_keys(col(json_col)).alias("found"), "wanted"
     )
     missing = F.array_join(F.array_except(F.col("wanted"), F.col("found")), ",")
-    status = F.when(F.col("found").isNull(), "invalid").when(missing != "", "missing_keys")
+    status = (
+        F.when(F.col("found").isNull(), "invalid")
+        .when(F.col("wanted").isNull(), "unknown_type")
+        .when(missing != "", "missing_keys")
+    )
     return staged.select(
         key, type_col, status.alias("status"), F.when(status == "missing_keys", missing).alias("missing")
     ).where(F.col("status").isNotNull())
@@ -456,10 +491,15 @@ def jargon_hits(docs: DataFrame, key: str, text: str, terms: DataFrame | Sequenc
     staged = docs.select(col(key), X.tokens_of(col(text)).alias("words"))
     if isinstance(terms, DataFrame):
         term = X.tokens_of(F.col("term"))
-        known = terms.select(F.array_join(term, " ").alias("term"), F.size(term).alias("n")).distinct()
-        lengths = [r["n"] for r in known.select("n").distinct().orderBy("n").collect()]
-        grams = F.flatten(F.array(*[_ngrams(words, n) for n in lengths if n > 0]))
-        used = staged.select(key, F.explode(grams).alias("term"))
+        known = terms.select(F.array_join(term, " ").alias("term"), term[0].alias("first"), F.size(term).alias("n"))
+        known = materialize(known.where(F.col("n") > 0).distinct())
+        # phrase lengths by first word: only phrases that can be listed are built
+        begins = materialize(known.groupBy("first").agg(F.collect_set("n").alias("lengths")))
+        spelled = staged.select(key, "words", F.posexplode("words").alias("at", "first")).where(F.col("first") != "")
+        starts = lookup_join(spelled.select(key, "first", F.slice("words", F.col("at") + 1, F.lit(_longest(known))).alias("rest")), begins, ["first"], "inner")
+        fits = F.filter("lengths", lambda n: n <= F.size("rest"))
+        grams = F.transform(fits, lambda n: F.array_join(F.slice("rest", F.lit(1), n), " "))
+        used = starts.select(key, F.explode(grams).alias("term"))
         small = fits_broadcast(known)
         if small:
             used = used.join(F.broadcast(known.select("term")), "term", "left_semi")
@@ -489,11 +529,40 @@ def _listed_grams(words: Column, listed: Sequence[tuple[str, ...]]) -> Column:
     return F.filter(joined, lambda g: g.isin(*phrases))
 
 
-def _ngrams(words: Column, n: int) -> Column:
-    if n == 1:
-        return words
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    return F.coalesce(
-        F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " ")),
-        F.array().cast("array<string>"),
+def _longest(known: DataFrame) -> int:
+    """Words of the longest listed phrase."""
+    return known.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+
+
+# the shapes of the other checks: check name, column that says what is wrong, columns that say where
+VIOLATION_SHAPES = {
+    "unresolved_refs": ("'unresolved reference'", "ref"),
+    "json_keys": ("status", "missing"),
+    "required": ("'missing fields'", "missing"),
+    "canonical_diff": ("status", None),
+    "missing_outputs": ("status", "name"),
+    "missing_sections": ("'missing section'", "section"),
+}
+
+
+def as_violations(found: DataFrame, check: str, severity: str = "block", what: str | None = None, where: str | None = None) -> DataFrame:
+    """The result of any check of C10 to C15 in the form that ``gate`` reads, a row for each kind of fault.
+
+    ``what`` and ``where`` are the expressions that say what is wrong and in which name or
+    field; those of the checks here are known.
+    """
+    known_what, known_where = VIOLATION_SHAPES.get(check, (None, None))
+    what, where = what or known_what, where or known_where
+    if what is None:
+        raise ValueError(f"say what {check!r} finds")
+    named = found.select(F.expr(what).cast("string").alias("what"), (F.expr(where) if where else F.lit(None)).cast("string").alias("column_name"))
+    counted = named.groupBy("what", "column_name").agg(F.count("*").alias("n"))
+    place = F.when(F.col("column_name").isNotNull(), F.concat(F.lit(" '"), "column_name", F.lit("'"))).otherwise("")
+    return counted.select(
+        F.lit(len(CHECKS)).alias("seq"),
+        F.lit(check).alias("check"),
+        "column_name",
+        "n",
+        F.lit(severity).alias("severity"),
+        F.concat("what", place, F.lit(" ("), "n", F.lit(")")).alias("message"),
     )

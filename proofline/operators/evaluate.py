@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -10,7 +10,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proofline.functions import expressions as X
 from proofline.functions.expressions import col
+from proofline.functions.longform import rows_of
 from proofline.functions.ordered import running_totals
 from proofline.session import materialize
 
@@ -64,7 +66,7 @@ def auc_table(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
     into ranges, so neither a frequent score nor a near-unique one fills a single task.
     """
     narrow = df.select(
-        col(label).cast("bigint").alias("label"), *[col(c).cast("double").alias(c) for c in scores]
+        col(label).cast("bigint").alias("label"), *[X.present(df, c).cast("double").alias(c) for c in scores]
     )
     cells = narrow.unpivot(["label"], [col(c) for c in scores], "score_name", "value").where(
         F.col("value").isNotNull() & F.col("label").isNotNull()
@@ -84,27 +86,48 @@ def auc_table(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
     return totals.select("score_name", "n_pos", "n_neg", auc.alias("auc"))
 
 
-def binary_metrics(scored: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """accuracy, F1 and AUC of scored rows."""
-    predicted = (col(score) >= threshold).cast("int")
+def metrics_table(scored: DataFrame, label: str, thresholds: Mapping[str, float]) -> DataFrame:
+    """F3 for several score columns, a row each: score_name, n, accuracy, f1, auc.
+
+    One aggregate counts the hits of all of them and one order of their values gives the
+    areas. ``scored`` is read twice; keep it as a table if it is costly.
+    """
     actual = col(label).cast("int")
-    counts = scored.where(col(score).isNotNull() & col(label).isNotNull()).agg(
-        F.count("*").alias("n"),
-        F.count_if((predicted == 1) & (actual == 1)).alias("tp"),
-        F.count_if((predicted == 1) & (actual == 0)).alias("fp"),
-        F.count_if((predicted == 0) & (actual == 1)).alias("fn"),
-        F.count_if((predicted == 0) & (actual == 0)).alias("tn"),
+    aggs = []
+    for i, (score, threshold) in enumerate(thresholds.items()):
+        value = X.present(scored, score)
+        known = value.isNotNull() & actual.isNotNull()
+        hit = value >= threshold
+        aggs += [
+            F.count_if(known).alias(f"n{i}"),
+            F.count_if(known & hit & (actual == 1)).alias(f"tp{i}"),
+            F.count_if(known & hit & (actual == 0)).alias(f"fp{i}"),
+            F.count_if(known & ~hit & (actual == 1)).alias(f"fn{i}"),
+        ]
+    counts = rows_of(
+        scored.agg(*aggs),
+        [
+            {"score_name": F.lit(s), **{part: F.col(f"{part}{i}") for part in ("n", "tp", "fp", "fn")}}
+            for i, s in enumerate(thresholds)
+        ],
     )
-    auc = auc_table(scored, [score], label).select("auc").scalar()
-    tp2 = F.col("tp") * 2
-    return counts.select(
+    areas = auc_table(scored, list(thresholds), label).select("score_name", "auc")
+    tp2, wrong = F.col("tp") * 2, F.col("fp") + F.col("fn")
+    # one row per score on both sides
+    return counts.join(F.broadcast(areas), "score_name", "left").select(
+        "score_name",
         "n",
-        F.try_divide((F.col("tp") + F.col("tn")).cast("double"), F.col("n")).alias("accuracy"),
-        F.try_divide(tp2.cast("double"), tp2 + F.col("fp") + F.col("fn")).alias("f1"),
-        auc.alias("auc"),
+        F.try_divide((F.col("n") - wrong).cast("double"), F.col("n")).alias("accuracy"),
+        F.try_divide(tp2.cast("double"), tp2 + wrong).alias("f1"),
+        "auc",
     )
 
 
+def binary_metrics(scored: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """accuracy, F1 and AUC of scored rows."""
+    return metrics_table(scored, label, {score: threshold}).drop("score_name")
+
+
 def compare_models(metrics: DataFrame, baseline: str = "baseline") -> DataFrame:
     """metrics per feature set with the lift over the baseline in points.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from proofline.functions import expressions as X
 from proofline.functions.expressions import col
 from proofline.functions.longform import rows_of
-from proofline.functions.lookups import fits_broadcast, join_unique
+from proofline.functions.lookups import fits_broadcast, hot_keys, join_unique
 from proofline.functions.ordered import row_numbers
 from proofline.operators.evaluate import auc_table
 from proofline.session import materialize
@@ -59,21 +58,25 @@ def group_aggregates(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Colu
     """Aggregates per entity, joined back to its rows.
 
     Combined before the shuffle; rows of a hot entity are spread on the way back, where
-    a window would sort them all in one task.
+    a window would sort them all in one task. The aggregates, which also tell the hot
+    entities, are kept as a table, so ``df`` is read twice.
     """
-    made = df.groupBy(*keys).agg(*[a.alias(feat(n)) for n, a in aggs.items()])
-    return join_unique(df, made, keys).select(*[col(c) for c in df.columns], *[feat(n) for n in aggs])
+    rows = "__rows_of_entity"
+    made = materialize(df.groupBy(*keys).agg(F.count("*").alias(rows), *[a.alias(feat(n)) for n, a in aggs.items()]))
+    hot = hot_keys(made, keys, n=rows)
+    return join_unique(df, made.drop(rows), keys, hot=hot).select(*[col(c) for c in df.columns], *[feat(n) for n in aggs])
 
 
 def row_aggregates(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     """Sum, mean, least, greatest and missing count over a family of columns."""
-    present = reduce(lambda a, b: a + b, [col(c).isNotNull().cast("int") for c in cols])
-    total = reduce(lambda a, b: a + b, [F.coalesce(col(c), F.lit(0)) for c in cols])
+    values = [X.present(df, c) for c in cols]
+    present = X.added([v.isNotNull().cast("int") for v in values])
+    total = X.added([F.coalesce(v, F.lit(0)) for v in values])
     made = {
         "sum": F.when(present > 0, total),
         "mean": F.try_divide(total.cast("double"), present),
-        "min": F.least(*[col(c) for c in cols]),
-        "max": F.greatest(*[col(c) for c in cols]),
+        "min": F.least(*values),
+        "max": F.greatest(*values),
         "missing": F.lit(len(cols)) - present,
     }
     return df.withColumns({feat(f"{name}_{k}"): e for k, e in made.items()})
@@ -99,15 +102,38 @@ def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.withColumns(made)
 
 
-def one_hot(df: DataFrame, name: str, max_levels: int = 50) -> DataFrame:
-    """A 0/1 column per level. More than ``max_levels`` levels raise: use label codes."""
-    found = df.select(col(name).alias("v")).where(F.col("v").isNotNull()).distinct().limit(max_levels + 1)
-    levels = sorted(r["v"] for r in found.collect())
-    if len(levels) > max_levels:
-        raise ValueError(f"{name} has more than {max_levels} levels; use label_encode")
-    return df.withColumns(
-        {feat(f"{name}_{v}"): F.coalesce(col(name) == v, F.lit(False)).cast("int") for v in levels}
-    )
+def one_hot_levels(df: DataFrame, name: str) -> list:
+    """The levels that ``one_hot`` makes columns of, in order: what a training table fits."""
+    found = df.select(X.present(df, name).alias("v")).where(F.col("v").isNotNull()).distinct()
+    return sorted(r["v"] for r in found.collect())
+
+
+def one_hot(df: DataFrame, name: str, levels: Sequence | None = None, fit_on: DataFrame | None = None) -> DataFrame:
+    """A 0/1 column per level; values outside the levels have 0 in all of them.
+
+    ``levels`` or ``fit_on`` fix the levels, so that train and test side get the same
+    columns; else they are those of ``df``. A table has a column for each, so a column with
+    very many levels is better served by ``one_hot_long``. Levels that differ in case alone
+    get names with a number behind them.
+    """
+    if levels is None:
+        levels = one_hot_levels(df if fit_on is None else fit_on, name)
+    names: dict[str, object] = {}
+    taken = {c.lower() for c in df.columns}
+    for v in levels:
+        wanted = made = feat(f"{name}_{v}")
+        n = 1
+        while made.lower() in taken:
+            n += 1
+            made = f"{wanted}_{n}"
+        taken.add(made.lower())
+        names[made] = v
+    return df.withColumns({c: F.coalesce(col(name) == v, F.lit(False)).cast("int") for c, v in names.items()})
+
+
+def one_hot_long(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """E7 for any number of levels: the ones of the matrix, a row (keys, level) for each; no driver, no shuffle."""
+    return df.select(*[col(k) for k in keys], X.present(df, name).alias("level")).where(F.col("level").isNotNull())
 
 
 def label_encode(df: DataFrame, name: str) -> DataFrame:
@@ -130,13 +156,13 @@ def scaled(df: DataFrame, cols: Sequence[str], method: str = "standard") -> dict
     """Scaling expressions whose statistics are a one-row subquery over ``df``."""
     parts = {"standard": (F.avg, F.stddev_samp), "minmax": (F.min, F.max)}[method]
     stats = df.agg(
-        F.struct(*[f(col(c)).alias(f"s{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(parts)])
+        F.struct(*[f(X.present(df, c)).alias(f"s{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(parts)])
     ).scalar()
     made = {}
     for i, c in enumerate(cols):
         base, other = stats[f"s{i}_0"], stats[f"s{i}_1"]
         width = other if method == "standard" else other - base
-        made[c] = F.try_divide((col(c) - base).cast("double"), width)
+        made[c] = F.try_divide((X.present(df, c) - base).cast("double"), width)
     return made
 
 
@@ -171,49 +197,88 @@ def build_features(df: DataFrame, specs: Sequence[FeatureSpec]) -> DataFrame:
 
     Row-level features of a batch share one projection.
     """
+    unknown = {s.batch for s in specs} - set(BATCHES)
+    if unknown:
+        raise ValueError(f"unknown batches: {sorted(unknown)}")
     for batch in BATCHES:
         columns: dict[str, Column] = {}
         for spec in [s for s in specs if s.batch == batch]:
             made = spec.build(df)
             if isinstance(made, DataFrame):
-                df = made
+                new = [c for c in made.columns if c.startswith(PREFIX) and c not in df.columns]
+                df = _of_spec(made, new, spec)
             else:
                 columns[feat(spec.name)] = made
         if columns:
             df = df.withColumns(columns)
-    unknown = {s.batch for s in specs} - set(BATCHES)
-    if unknown:
-        raise ValueError(f"unknown batches: {sorted(unknown)}")
+            for spec in specs:
+                if feat(spec.name) in columns:
+                    df = _of_spec(df, [feat(spec.name)], spec)
     return df
 
 
+# key of the column metadata that names the spec of a feature
+SPEC = "feature_spec"
+
+
+def _of_spec(df: DataFrame, names: Sequence[str], spec: FeatureSpec) -> DataFrame:
+    for c in names:
+        df = df.withMetadata(c, {**df.schema[c].metadata, SPEC: spec.name})
+    return df
+
+
+# Fixed value: what the dictionary says of a feature that no spec describes.
+UNDOCUMENTED = "undocumented"
+
+
 def data_dictionary(df: DataFrame, specs: Sequence[FeatureSpec]) -> DataFrame:
-    """One row per feature with its origin, value range and missing values."""
-    named = [(s, feat(s.name)) for s in specs if feat(s.name) in df.columns]
+    """One row per feature column with its origin, value range and missing values.
+
+    All columns that a spec made are described by it. Numbers have a range in min_value
+    and max_value, other features in min_text and max_text, as text. A feature column that
+    no spec knows is listed as undocumented.
+    """
+    by_name = {s.name: s for s in specs}
+    features = [f for f in df.schema if f.name.startswith(PREFIX)]
     aggs = [F.count("*").alias("n_rows")]
-    for i, (_, c) in enumerate(named):
+    entries = []
+    for i, f in enumerate(features):
+        spec = by_name.get(f.metadata.get(SPEC, f.name.removeprefix(PREFIX)))
+        value, numeric = X.present(df, f.name), X.is_numeric(df, f.name)
+        low, high = F.min(value), F.max(value)
         aggs += [
-            F.min(col(c)).cast("double").alias(f"lo{i}"),
-            F.max(col(c)).cast("double").alias(f"hi{i}"),
-            F.count_if(col(c).isNull()).alias(f"null{i}"),
+            (low.cast("double") if numeric else F.lit(None).cast("double")).alias(f"lo{i}"),
+            (high.cast("double") if numeric else F.lit(None).cast("double")).alias(f"hi{i}"),
+            (F.lit(None).cast("string") if numeric else low.cast("string")).alias(f"first{i}"),
+            (F.lit(None).cast("string") if numeric else high.cast("string")).alias(f"last{i}"),
+            F.count_if(value.isNull()).alias(f"null{i}"),
         ]
-    entries = [
-        {
-            "name": F.lit(c),
-            "description": F.lit(s.description),
-            "source_columns": F.lit(",".join(s.sources)),
-            "method": F.lit(s.method),
-            "min_value": F.col(f"lo{i}"),
-            "max_value": F.col(f"hi{i}"),
-            "n_missing": F.col(f"null{i}"),
-            "n_rows": F.col("n_rows"),
-            "missing_handling": F.lit(s.missing),
-        }
-        for i, (s, c) in enumerate(named)
-    ]
+        entries.append(
+            {
+                "name": F.lit(f.name),
+                "description": F.lit(spec.description if spec else UNDOCUMENTED),
+                "source_columns": F.lit(",".join(spec.sources) if spec else None).cast("string"),
+                "method": F.lit(spec.method if spec else None).cast("string"),
+                "min_value": F.col(f"lo{i}"),
+                "max_value": F.col(f"hi{i}"),
+                "min_text": F.col(f"first{i}"),
+                "max_text": F.col(f"last{i}"),
+                "n_missing": F.col(f"null{i}"),
+                "n_rows": F.col("n_rows"),
+                "missing_handling": F.lit(spec.missing if spec else None).cast("string"),
+            }
+        )
+    if not entries:
+        return df.sparkSession.createDataFrame([], DICTIONARY)
     return rows_of(df.agg(*aggs), entries)
 
 
+DICTIONARY = (
+    "name string, description string, source_columns string, method string, min_value double, max_value double, "
+    "min_text string, max_text string, n_missing long, n_rows long, missing_handling string"
+)
+
+
 def challenge_stats(df: DataFrame, feature: str, sources: Sequence[str], den: str, label: str) -> DataFrame:
     """Facts to challenge a feature with, one row per source column.
 

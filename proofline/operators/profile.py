@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from proofline.functions import expressions as X
 from proofline.functions.expressions import DATE_FORMATS, MASK_TOKENS, col
 from proofline.functions.longform import long_values, names_of, numeric_columns, rows_of, value_counts
-from proofline.functions.ordered import exact_quantiles, top_per_group
+from proofline.functions.ordered import exact_quantiles, sketched_quantiles, top_per_group
 
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
@@ -38,12 +38,15 @@ def column_counts(
     shapes: bool = True,
     patterns: Mapping[str, str] | None = None,
     date_columns: Sequence[str] = (),
+    typed: Mapping[str, str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """One row per column with every count that the profile and the contract need.
 
     position, column_name, n_rows, and the values per class: n_null, n_empty, n_masked,
     n_numeric, n_date, n_string; n_bad counts values off their column's pattern, n_fmt_j
-    and n_fmt_other the date formats of ``date_columns``. ``shapes=False`` leaves numbers
+    and n_fmt_other the date formats of ``date_columns``, n_untyped the values that do not fit
+    the type that ``typed`` wants, n_malformed the rows with a value in ``malformed``. ``shapes=False`` leaves numbers
     and dates unrecognised, which saves their patterns.
 
     All of it is one scan: cells become rows that are counted before the shuffle, so the
@@ -51,13 +54,17 @@ def column_counts(
     """
     cols = list(df.columns if cols is None else cols)
     patterns = patterns or {}
-    read_as_text = {*patterns, *date_columns}
+    typed = typed or {}
+    read_as_text = {*patterns, *date_columns, *typed}
     kinds, texts = [], []
     for c in cols:
         kinds.append(X.typed_class(df, c).cast("int"))
         is_text = X.is_string(df, c) or c in read_as_text
         texts.append(col(c).cast("string") if is_text else F.lit(None).cast("string"))
-    cells = df.select(F.array(*kinds).alias("kinds"), F.posexplode(F.array(*texts)).alias("position", "text"))
+    ragged = col(malformed).isNotNull() if malformed else F.lit(False)
+    cells = df.select(
+        F.array(*kinds).alias("kinds"), ragged.alias("ragged"), F.posexplode(F.array(*texts)).alias("position", "text")
+    )
     position, text = F.col("position"), F.col("text")
     kind = X.text_class(text, tokens, formats, shapes)
     if not all(X.is_string(df, c) for c in cols):
@@ -66,17 +73,23 @@ def column_counts(
     off = F.lit(False)
     for c, p in patterns.items():
         off = F.when(position == at[c], ~text.rlike(p)).otherwise(off)
+    untyped = F.lit(False)
+    for c, t in typed.items():
+        holds = F.coalesce(X.trimmed(text), F.lit("")) == ""
+        untyped = F.when(position == at[c], ~holds & X.typed(text, t, formats).isNull()).otherwise(untyped)
     fmt = F.lit(None).cast("string")
     if date_columns:
         fmt = F.when(position.isin(*[at[c] for c in date_columns]), X.matched_format(text, formats))
     codes = {"null": X.NULL, "empty": X.EMPTY, "masked": X.MASKED, "numeric": X.NUMERIC, "date": X.DATE, "string": X.STRING}
     counts = (
-        cells.select("position", kind.alias("kind"), off.alias("off"), fmt.alias("fmt"))
+        cells.select("position", "ragged", kind.alias("kind"), off.alias("off"), untyped.alias("untyped"), fmt.alias("fmt"))
         .groupBy("position")
         .agg(
             F.count("*").alias("n_rows"),
             *[F.count_if(F.col("kind") == code).alias(f"n_{name}") for name, code in codes.items()],
             F.count_if("off").alias("n_bad"),
+            F.count_if("untyped").alias("n_untyped"),
+            F.count_if("ragged").alias("n_malformed"),
             *[F.count_if(F.col("fmt") == f).alias(f"n_fmt_{j}") for j, f in enumerate(formats)],
             F.count_if(F.col("fmt") == "other").alias("n_fmt_other"),
         )
@@ -88,23 +101,22 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
     """B2: count, mean, deviation, range and quartiles per numeric column.
 
     Exact quartiles cost one shuffle of the distinct values; ``exact=False`` takes them
-    from a fixed-size sketch in the same pass as the rest.
+    from sketches of fixed size.
     """
     cols = list(cols or numeric_columns(df))
     v = F.col("value")
     parts = {"n": F.count(v), "mean": F.avg(v), "stddev": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
-    if not exact:
-        sketch = F.percentile_approx(v, list(QUANTILES.values()), 10_000)
-        parts |= {q: F.get(sketch, F.lit(j)) for j, q in enumerate(QUANTILES)}
-    found = long_values(df, cols, "double").where(~F.isnan(v)).groupBy("column_name").agg(
-        *[part.alias(name) for name, part in parts.items()]
-    )
+    cells = long_values(df, cols, "double").where(~F.isnan(v))
+    found = cells.groupBy("column_name").agg(*[part.alias(name) for name, part in parts.items()])
     if exact:
         wide = exact_quantiles(df, cols, list(QUANTILES.values())).groupBy("column_name").agg(
             *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(q) for q, p in QUANTILES.items()]
         )
-        # both sides hold one row per column
-        found = found.join(F.broadcast(wide), "column_name", "left")
+    else:
+        wide = sketched_quantiles(cells, list(QUANTILES.values()))
+        wide = wide.select("column_name", *[F.get("quantiles", F.lit(j)).alias(q) for j, q in enumerate(QUANTILES)])
+    # both sides hold one row per column
+    found = found.join(F.broadcast(wide), "column_name", "left")
     summary = names_of(df, cols).join(F.broadcast(found), "column_name", "left").fillna(0, ["n"])
     return summary.select("column_name", "n", "mean", "stddev", "min", *QUANTILES, "max")
 
@@ -129,7 +141,7 @@ def masked_nulls(df: DataFrame, tokens: Sequence[str] = MASK_TOKENS) -> DataFram
     cols = [c for c in df.columns if X.is_string(df, c)]
     found = (
         long_values(df, cols)
-        .select("column_name", F.trim("value").alias("token"))
+        .select("column_name", X.trimmed(F.col("value")).alias("token"))
         .where(F.col("token").isin(*tokens))
         .groupBy("column_name", "token")
         .agg(F.count("*").alias("n"))
@@ -150,13 +162,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
     """Equal-width bins between the least and greatest value of each column."""
     spans = df.agg(
         F.struct(
-            *[F.min(col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-            *[F.max(col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)],
+            *[F.min(X.present(df, c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+            *[F.max(X.present(df, c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)],
         )
     ).scalar()
     cells = []
     for i, c in enumerate(cols):
-        v, lo, hi = col(c).cast("double"), spans[f"lo{i}"], spans[f"hi{i}"]
+        v, lo, hi = X.present(df, c).cast("double"), spans[f"lo{i}"], spans[f"hi{i}"]
         # the greatest value belongs to the last bin, a single-valued column has one bin
         bin_ = F.when(lo == hi, F.lit(1)).otherwise(F.least(F.width_bucket(v, lo, hi, F.lit(bins)), F.lit(bins)))
         cells.append(
@@ -346,14 +358,24 @@ def column_profile(df: DataFrame, rules: ProfileRules = ProfileRules()) -> DataF
     """One row per column for planning: type, nulls, distinct values, length, sensitivity."""
     cols = df.columns
     nulls = null_profile(df, rules.tokens)
-    lengths = F.array(*[F.length(col(c)) if X.is_string(df, c) else F.lit(None).cast("int") for c in cols])
-    hashes = F.array(*[F.when(col(c).isNotNull(), F.xxhash64(col(c))) for c in cols])
+    cells = F.array(
+        *[
+            F.struct(
+                (F.length(col(c)) if X.is_string(df, c) else F.lit(None)).cast("int").alias("length"),
+                F.when(X.present(df, c).isNotNull(), F.xxhash64(col(c))).alias("hash"),
+            )
+            for c in cols
+        ]
+    )
+    # equal values shrink to one row before the shuffle, so that distinct values are counted exactly
     found = (
-        df.select(lengths.alias("lengths"), F.posexplode(hashes).alias("position", "hash"))
+        df.select(F.posexplode(cells).alias("position", "cell"))
+        .groupBy("position", "cell.hash")
+        .agg(F.count("*").alias("n"), F.max("cell.length").alias("length"))
         .groupBy("position")
         .agg(
-            F.avg(F.get("lengths", F.col("position"))).alias("mean_length"),
-            F.approx_count_distinct("hash").alias("n_distinct"),
+            F.try_divide(F.sum(F.col("n") * F.col("length")), F.sum(F.when(F.col("length").isNotNull(), F.col("n")))).alias("mean_length"),
+            F.count("hash").alias("n_distinct"),
         )
     )
     types = F.create_map(*[F.lit(p) for f in df.schema for p in (f.name, f.dataType.simpleString())])

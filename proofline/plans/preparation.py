@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
-from proofline.operators.clean import Step, apply_steps, change_log, impute, mistake_log, rename
+from proofline.operators.clean import (
+    Step,
+    apply_steps,
+    change_log,
+    fill_log,
+    impute,
+    mistake_log,
+    rename,
+    rename_log,
+)
 from proofline.operators.profile import (
     ProfileRules,
     column_profile,
@@ -62,6 +73,27 @@ def all_steps(recipe: Recipe) -> list[Step]:
     return [*unmask, *recipe.steps, *casts]
 
 
+def _changes(
+    named: DataFrame, marked: DataFrame, typed: DataFrame, steps: Sequence[Step], recipe: Recipe, header: Sequence[str] | None
+) -> DataFrame:
+    """Renames, steps and fills in the order in which they were made."""
+    parts = []
+    renamed = {old: new for old, new in recipe.names.items() if new in named.columns and (header is None or old in header)}
+    if renamed:
+        parts.append(rename_log(named, renamed))
+    if steps:
+        parts.append(change_log(marked, steps))
+    if recipe.fills:
+        parts.append(fill_log(typed, recipe.fills))
+    if not parts:
+        return change_log(marked, [Step(recipe.key, "none", "nothing was to be changed", lambda c: c)])
+    # a few rows for each part
+    order = [p.withColumn("__part", F.lit(i)) for i, p in enumerate(parts)]
+    log = reduce(DataFrame.unionByName, order)
+    place = F.row_number().over(Window.orderBy("__part", "seq", "column_name", "what")) - 1
+    return log.withColumn("seq", place).drop("__part")
+
+
 def prepare(raw: DataFrame, recipe: Recipe, header: Sequence[str] | None = None) -> Prepared:
     """From a raw table to a typed one with profile, change log, mistake log and hand-off.
 
@@ -81,7 +113,7 @@ def prepare(raw: DataFrame, recipe: Recipe, header: Sequence[str] | None = None)
         table=table,
         profile=column_profile(marked, recipe.rules),
         issues=quality_issues(marked, recipe.rules),
-        changes=change_log(marked, steps),
+        changes=_changes(named, marked, typed, steps, recipe, header),
         mistakes=mistake_log(marked, recipe.key, recipe.types, recipe.rules.tokens, recipe.rules.formats),
         handoff=handoff_metadata(table),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     named = tempfile.mkdtemp(prefix="proofline-")
+    # nobody else knows this folder, so it goes with the process
+    atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", named)
     return named
 

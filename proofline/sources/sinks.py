@@ -54,9 +54,16 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
         report.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 
-def list_outputs(spark, path: str) -> DataFrame:
-    """Names and lengths of the files under ``path``; the contents are not read."""
+def list_outputs(spark, path: str, depth: int = 1) -> DataFrame:
+    """Names and lengths of the outputs under ``path``; the contents are not read.
+
+    ``depth`` 1 lists files, 2 the folders that hold them, such as tables, with the
+    bytes of all their files. Files without bytes are not listed, as Spark's readers pass
+    over them: an empty output counts as absent.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return listed.select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length")
+    return (
+        listed.select(F.element_at(F.split("path", "/"), -depth).alias("name"), F.col("length"))
+        .groupBy("name")
+        .agg(F.sum("length").alias("length"))
     )

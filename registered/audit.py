@@ -14,6 +14,7 @@ from registered.contracts import PRIORITY_PATTERN
     "audit_rows",
     f"""WITH {DIRTY_ORDERS_SQL}, c AS (
       SELECT 'duplicate_columns' AS "check", 0 AS n_violations
+      UNION ALL SELECT 'structure', 0 UNION ALL SELECT 'row_shape', 0
       UNION ALL SELECT 'mixed_types', CAST(count(*) FILTER (WHERE customer LIKE 'C%') > 0 AS INT) + CAST(count(*) FILTER (WHERE ordered_on = 'soon') > 0 AS INT) FROM raw
       UNION ALL SELECT 'formats', CAST(count(*) FILTER (WHERE NOT regexp_matches(priority, '{PRIORITY_PATTERN}')) > 0 AS INT) FROM raw
       UNION ALL SELECT 'size', CAST(count(*) < 1 AS INT) FROM raw
@@ -49,7 +50,7 @@ def recurring_failures(spark, sf):
 
 @query(
     "run_manifest",
-    """SELECT event_type, props, count(*) AS n_runs, min(ts) AS first_at, max(ts) AS last_at, sha256(concat_ws(chr(31), event_type, props)) AS fingerprint
+    """SELECT event_type, props, count(*) AS n_runs, min(ts) AS first_at, max(ts) AS last_at, sha256(CAST(to_json(struct_pack(event_type := event_type, props := props)) AS VARCHAR)) AS fingerprint
     FROM events GROUP BY event_type, props""",
 )
 def run_manifest(spark, sf):

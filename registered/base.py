@@ -65,8 +65,8 @@ def _fields(dirt: dict[str, str], words: dict[str, str]) -> list[str]:
     return [f"{e.format(**words)} AS {name}" for name, e in dirt.items()]
 
 
-def dirty_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr(*_fields(ORDER_DIRT, SPARK_WORDS))
+def dirty_orders(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    return table(spark, sf, "orders").selectExpr(*_fields(ORDER_DIRT, SPARK_WORDS), *more)
 
 
 def dirty_customers(spark: SparkSession, sf: str) -> DataFrame:

@@ -30,8 +30,7 @@ h AS (SELECT order_id AS c0, customer AS c1, status AS c2, CAST(customer_id AS V
 
 
 def handoff_rows(spark, sf):
-    keys = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"), "o_custkey")
-    orders = dirty_orders(spark, sf).join(keys, "order_id")
+    orders = dirty_orders(spark, sf, "o_custkey")
     joined = orders.join(dirty_customers(spark, sf), F.col("o_custkey") == F.col("customer_id"))
     return joined.select("order_id", "customer", "status", F.col("customer_id").cast("string"), "segment").toDF(
         *[f"c{i}" for i in range(5)]
@@ -245,7 +244,7 @@ def unresolved_refs(spark, sf):
     "json_keys",
     """WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 50 = 0 THEN substr(props, 1, 4) WHEN event_id % 70 = 1 THEN '[1]' ELSE props END AS props FROM events),
     s AS (SELECT event_id, event_type, CASE WHEN NOT json_valid(props) OR props = '[1]' THEN 'invalid'
-      WHEN event_type IN ('purchase', 'error') THEN 'missing_keys' END AS status FROM e)
+      WHEN event_type NOT IN ('purchase', 'error', 'click', 'view') THEN 'unknown_type' WHEN event_type IN ('purchase', 'error') THEN 'missing_keys' END AS status FROM e)
     SELECT event_id, event_type, status, CASE WHEN status = 'missing_keys' THEN CASE event_type WHEN 'purchase' THEN 'amount' ELSE 'code,trace' END END AS missing
     FROM s WHERE status IS NOT NULL""",
 )

@@ -8,6 +8,7 @@ from proofline.operators import features as E
 from proofline.operators.clean import rename
 from proofline.operators.evaluate import auc_table
 from proofline.operators.profile import ProfileRules, column_profile, flag_sensitive
+from proofline.session import materialize
 from registered.base import DIRTY_ORDERS_SQL, ORDER_COLUMNS, dirty_orders, query, rounded, table, union_all
 
 
@@ -204,7 +205,7 @@ g AS (SELECT f.*, (feat_net - (SELECT min(feat_net) FROM f)) / ((SELECT max(feat
     "feat_net, round(feat_share_of_order, 6) AS feat_share_of_order, feat_returned, round(feat_net_scaled, 6) AS feat_net_scaled FROM g",
 )
 def built_features(spark, sf):
-    made = E.build_features(order_lines(spark, sf), order_line_specs())
+    made = E.build_features(materialize(order_lines(spark, sf)), order_line_specs())
     names = ["feat_tax_to_discount", "feat_share_of_order", "feat_net_scaled"]
     return E.features_only(made.withColumns({n: rounded(n) for n in names}), ["l_orderkey", "l_linenumber", "l_partkey"])
 
@@ -212,7 +213,7 @@ def built_features(spark, sf):
 DICTIONARY_SQL = union_all(
         [
             f"SELECT 'feat_{s.name}' AS name, '{s.description.replace(chr(39), chr(39) * 2)}' AS description, '{','.join(s.sources)}' AS source_columns, '{s.method}' AS method, "
-            f"round(CAST(min(feat_{s.name}) AS DOUBLE), 6) AS min_value, round(CAST(max(feat_{s.name}) AS DOUBLE), 6) AS max_value, count(*) - count(feat_{s.name}) AS n_missing, "
+            f"round(CAST(min(feat_{s.name}) AS DOUBLE), 6) AS min_value, round(CAST(max(feat_{s.name}) AS DOUBLE), 6) AS max_value, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text, count(*) - count(feat_{s.name}) AS n_missing, "
             f"count(*) AS n_rows, '{s.missing}' AS missing_handling FROM g"
             for s in order_line_specs()
         ]
@@ -221,7 +222,7 @@ DICTIONARY_SQL = union_all(
 
 @query("data_dictionary", f"WITH {BUILT_SQL} {DICTIONARY_SQL}")
 def data_dictionary(spark, sf):
-    made = E.build_features(order_lines(spark, sf), order_line_specs())
+    made = E.build_features(materialize(order_lines(spark, sf)), order_line_specs())
     found = E.data_dictionary(made, order_line_specs())
     return found.withColumns({c: rounded(c) for c in ("min_value", "max_value")})
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofline.operators import evaluate as M
 from proofline.operators import features as E
-from proofline.plans.modelling import compare_feature_sets
+from proofline.plans.modelling import compare_feature_sets, published_row, rushed_set
 from proofline.session import materialize
 from registered.base import query, rounded, table, union_all
 from registered.engineering import auc_sql
@@ -43,22 +40,42 @@ def labelled_texts(spark, sf):
     return E.ratio(made, "feat_text_digits", "n_chars", "digit_share")
 
 
-@query("fitted_logit")
+@query(
+    "fitted_logit",
+    """WITH t AS (SELECT documents.doc_id FROM documents JOIN labels ON documents.doc_id = labels.doc_id
+      WHERE ('0x' || substr(md5(concat(documents.doc_id, '-42')), 1, 8))::BIGINT % 100 < 80)
+    SELECT term, count(*) AS n, 0.0 AS gradient FROM t, (VALUES ('feat_text_words'), ('feat_text_digits'), ('feat_punctuation_per_word'), ('intercept')) v(term) GROUP BY term""",
+)
 def fitted_logit(spark, sf):
     cols = ["feat_text_words", "feat_text_digits", "feat_punctuation_per_word"]
     train, _ = M.split(labelled_texts(spark, sf).na.fill(0.0), "doc_id")
     # the text is read once, the fit then passes over three numbers a row
     scaled = E.scale(materialize(train.select(*cols, "quality")), cols)
+    scaled = materialize(scaled.fillna(0.0))
     model = M.fit_logit(scaled, [f"feat_{c}_standard" for c in cols], "quality", reg=0.01)
-    weights = [*zip(model.columns, model.weights), ("intercept", model.intercept)]
-    return spark.createDataFrame(weights, "term string, weight double")
+    # at the best weights the residuals are balanced: their mean product with each feature
+    # is what the penalty takes, and their mean is zero
+    residual = F.col("score") - F.col("quality")
+    parts = [
+        F.struct(F.lit(c).alias("term"), (residual * F.col(f"feat_{c}_standard") + 0.01 * w).alias("slope"))
+        for c, w in zip(cols, model.weights)
+    ]
+    parts.append(F.struct(F.lit("intercept").alias("term"), residual.alias("slope")))
+    slopes = model.score(scaled).select(F.inline(F.array(*parts)))
+    return slopes.groupBy("term").agg(F.count("*").alias("n"), (F.round(F.avg("slope"), 3) + 0.0).alias("gradient"))
+
+
+# figures to stand beside the own ones: accuracy, F1, AUC
+PUBLISHED = (0.9, 0.95, 0.8)
 
 
 @query("feature_set_comparison")
 def feature_set_comparison(spark, sf):
     engineered = ["n_chars", "feat_text_digits", "feat_punctuation_per_word", "feat_digit_share"]
     sets = {"baseline": ["n_chars"], "engineered": engineered}
-    return compare_feature_sets(labelled_texts(spark, sf), "doc_id", "quality", sets)
+    texts = materialize(labelled_texts(spark, sf))
+    rushed = rushed_set(texts, "doc_id", "quality", ["n_chars", "feat_text_words", "feat_digit_share"])
+    return compare_feature_sets(texts, "doc_id", "quality", sets, [rushed, published_row(spark, *PUBLISHED)])
 
 
 SCORED_SQL = """s AS (SELECT quality, CAST(n_chars AS DOUBLE) AS size, CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE) / n_chars AS density
@@ -91,18 +108,17 @@ def binary_metrics(spark, sf):
 
 @query(
     "model_lift",
-    f"WITH {SCORED_SQL}, m AS ({union_all([_metrics_sql('baseline', 'size', 500), _metrics_sql('engineered', 'density', 0.16)])}), b AS (SELECT * FROM m WHERE feature_set = 'baseline') "
+    f"WITH {SCORED_SQL}, m AS ({union_all([_metrics_sql('baseline', 'size', 500), _metrics_sql('engineered', 'density', 0.16)])} UNION ALL SELECT 'published', NULL, {PUBLISHED[0]}, {PUBLISHED[1]}, {PUBLISHED[2]}), b AS (SELECT * FROM m WHERE feature_set = 'baseline') "
     "SELECT m.feature_set, "
     + ", ".join(f"round(m.{c}, 9) AS {c}, round((m.{c} - b.{c}) * 100, 6) AS {c}_lift" for c in ("accuracy", "f1", "auc"))
     + " FROM m, b",
 )
 def model_lift(spark, sf):
-    scored = scored_texts(spark, sf)
-    parts = [
-        M.binary_metrics(scored, "quality", score, at).select(F.lit(name).alias("feature_set"), "*")
-        for name, score, at in (("baseline", "size", 500), ("engineered", "density", 0.16))
-    ]
-    found = M.compare_models(reduce(DataFrame.unionByName, parts))
+    # the texts are scored once
+    scored = materialize(scored_texts(spark, sf)).withColumnsRenamed({"size": "baseline", "density": "engineered"})
+    measured = M.metrics_table(scored, "quality", {"baseline": 500, "engineered": 0.16})
+    measured = measured.withColumnRenamed("score_name", "feature_set")
+    found = M.compare_models(measured.unionByName(published_row(spark, *PUBLISHED)))
     return found.withColumns(
         {c: rounded(c, 9) for c in ("accuracy", "f1", "auc")}
         | {f"{c}_lift": rounded(f"{c}_lift", 6) for c in ("accuracy", "f1", "auc")}

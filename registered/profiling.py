@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proofline.operators import profile as P
+from proofline.functions.longform import long_values
 from proofline.operators.clean import rename
 from registered.base import (
     DIRTY_CUSTOMERS_SQL,
@@ -29,7 +30,7 @@ def shape(spark, sf):
     return P.shape(table(spark, sf, "orders"))
 
 
-SUMMARY_COLUMNS = ["l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+SUMMARY_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SUMMARY_SQL = union_all(
     [
         f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, "
@@ -51,9 +52,27 @@ def numeric_summary(spark, sf):
     return _rounded_summary(P.numeric_summary(table(spark, sf, "lineitem"), SUMMARY_COLUMNS))
 
 
-@query("numeric_summary_sketched")
+@query(
+    "numeric_summary_sketched",
+    union_all(
+        [
+            f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 4) AS mean, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, true AS near FROM lineitem"
+            for c in SUMMARY_COLUMNS
+        ]
+    ),
+)
 def numeric_summary_sketched(spark, sf):
-    return _rounded_summary(P.numeric_summary(table(spark, sf, "lineitem"), SUMMARY_COLUMNS, exact=False))
+    """The estimates hold if the share of smaller values is within a hundredth of what they stand for."""
+    items = table(spark, sf, "lineitem")
+    found = P.numeric_summary(items, SUMMARY_COLUMNS, exact=False)
+    # one row per column
+    cells = long_values(items, SUMMARY_COLUMNS, "double").join(F.broadcast(found), "column_name")
+    near = F.lit(True)
+    for name, p in P.QUANTILES.items():
+        below, upto = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+        near = near & (below <= p + 0.01) & (upto >= p - 0.01)
+    checked = cells.groupBy("column_name").agg(near.alias("near"))
+    return found.join(F.broadcast(checked), "column_name").select("column_name", "n", rounded("mean", 4).alias("mean"), "min", "max", "near")
 
 
 def _null_sql(source: str, cols: list[str], text: set[str]) -> str:
@@ -163,9 +182,15 @@ def cardinality(spark, sf):
     return P.cardinality(table(spark, sf, "orders"), TOP_COLUMNS)
 
 
-@query("cardinality_sketched")
+@query("cardinality_sketched", union_all([f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS near FROM orders" for c in TOP_COLUMNS]))
 def cardinality_sketched(spark, sf):
-    return P.cardinality(table(spark, sf, "orders"), TOP_COLUMNS, exact=False)
+    """The estimates hold if they are within a fifth, four times the sketch's deviation, of the exact counts."""
+    orders = table(spark, sf, "orders")
+    exact = P.cardinality(orders, TOP_COLUMNS).select("column_name", "n_distinct")
+    about = P.cardinality(orders, TOP_COLUMNS, exact=False).select("column_name", F.col("n_distinct").alias("about"))
+    near = F.abs(F.col("about") - F.col("n_distinct")) <= 0.2 * F.col("n_distinct")
+    # one row per column
+    return exact.join(F.broadcast(about), "column_name").select("column_name", "n_distinct", near.alias("near"))
 
 
 FORMAT_SQL = (

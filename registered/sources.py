@@ -36,16 +36,15 @@ def raw_csv_scan(spark, sf):
     rows, header = read_raw_csv(spark, path)
     if header != ORDER_COLUMNS:
         raise ValueError(f"unexpected header {header}")
-    return rows
+    return rows.drop("_malformed")
 
 
-@query(
-    "table_sinks",
-    """SELECT 'parquet' AS format, l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag
-    UNION ALL SELECT 'csv', l_returnflag, count(*), round(sum(l_quantity), 2) FROM lineitem GROUP BY l_returnflag""",
-)
+_SINKS_SQL = "l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity, CAST(sum(l_linenumber) AS BIGINT) AS numbers, max(l_shipdate) AS last_day FROM lineitem GROUP BY l_returnflag"
+
+
+@query("table_sinks", f"SELECT 'parquet' AS format, {_SINKS_SQL} UNION ALL SELECT 'csv', {_SINKS_SQL}")
 def table_sinks(spark, sf):
-    items = table(spark, sf, "lineitem").select("l_returnflag", "l_quantity")
+    items = table(spark, sf, "lineitem")
     found = []
     for fmt in ("parquet", "csv"):
         path = scratch_path(spark, f"items-{fmt}")
@@ -54,7 +53,10 @@ def table_sinks(spark, sf):
         back = reader.csv(path, header=True) if fmt == "csv" else reader.parquet(path)
         found.append(
             back.groupBy(F.lit(fmt).alias("format"), "l_returnflag").agg(
-                F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+                F.count("*").alias("n"),
+                F.round(F.sum("l_quantity"), 2).alias("quantity"),
+                F.sum("l_linenumber").alias("numbers"),
+                F.max("l_shipdate").alias("last_day"),
             )
         )
     return found[0].unionByName(found[1])
@@ -94,6 +96,7 @@ def handoff(spark, sf):
         CAST(count(*) FILTER (WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) > 0 AS INT) AS formats
       FROM raw)
     SELECT 'duplicate_columns' AS "check", 2 AS n_records, CASE WHEN duplicate_columns > 0 THEN 'fail' ELSE 'pass' END AS result, 2 * duplicate_columns AS n_violations FROM v
+    UNION ALL SELECT 'structure', 2, 'pass', 0 FROM v UNION ALL SELECT 'row_shape', 2, 'pass', 0 FROM v
     UNION ALL SELECT 'mixed_types', 2, CASE WHEN mixed_types > 0 THEN 'fail' ELSE 'pass' END, 2 * mixed_types FROM v
     UNION ALL SELECT 'formats', 2, CASE WHEN formats > 0 THEN 'fail' ELSE 'pass' END, 2 * formats FROM v""",
 )
@@ -112,14 +115,16 @@ def appended_log(spark, sf):
 
 @query(
     "report_tables",
-    """SELECT 'nulls' AS report, 'o_orderstatus' AS name, count(*) AS n FROM orders
-    UNION ALL SELECT 'top', o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus""",
+    union_all(
+        [f"SELECT 'nulls' AS report, '{c}' AS name, count(*) AS n FROM orders" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")]
+    )
+    + " UNION ALL SELECT 'top', o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus",
 )
 def report_tables(spark, sf):
     orders = table(spark, sf, "orders")
     folder = scratch_path(spark, "reports")
     write_reports(
-        {"nulls": null_profile(orders, cols=["o_orderstatus"]), "top": top_values(orders, ["o_orderstatus"], 10)},
+        {"nulls": null_profile(orders), "top": top_values(orders, ["o_orderstatus"], 10)},
         folder,
     )
     nulls = spark.read.parquet(f"{folder}/nulls").selectExpr("'nulls' AS report", "column_name AS name", "n_rows AS n")
