@@ -8,10 +8,10 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from proofline.llm import neardups, secrets
+from proofline.llm import secrets
 from proofline.llm.tokens import word_tokenizer
 from tests.llm.test_learned import leaks_by_force
-from tests.llm.test_similar import least_reachable, shingles_of
+from tests.llm.test_similar import kept_by_force
 from tests.llm.test_spans import SECRETS, base_spans, weak_by_pairs
 from tests.llm.test_token_output import check_packing
 
@@ -52,23 +52,12 @@ def test_quality_drops_poor_documents(spark, stages):
 
 def test_one_of_each_group_of_copies_stays(stages):
     before, after = by_id(stages[1]), by_id(stages[2])
-    ids = sorted(before)
-    sets = [shingles_of(before[i]["text"] or "") for i in ids]
-    owners = {}
-    for n, own in enumerate(sets):
-        for shingle in own:
-            owners.setdefault(shingle, []).append(n)
-    import numpy as np
-
-    linked = np.zeros((len(ids), len(ids)), bool)
-    for n, own in enumerate(sets):
-        for m in {x for shingle in own for x in owners[shingle]}:
-            linked[n, m] = len(own & sets[m]) >= neardups.SIMILARITY * len(own | sets[m])
-    want = set(least_reachable(linked, ids))
-    assert want <= set(after)
-    # the search may miss a copy whose fingerprints are all too far
-    assert len(after) - len(want) <= 0.01 * len(ids)
-    assert len(want) < len(ids)
+    want = kept_by_force([(i, before[i]["text"]) for i in sorted(before)])
+    assert sorted(after) == want
+    assert len(want) < len(before)
+    # of equal texts one stays
+    texts = [r["text"].lower().split() for r in after.values()]
+    assert len(set(map(tuple, texts))) == len(texts)
 
 
 def test_documents_with_benchmark_items_go(spark, stages):
