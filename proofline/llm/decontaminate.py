@@ -5,7 +5,8 @@ inverse document frequency over the whole corpus, and a randomised SVD of the TF
 matrix of the benchmark's passages, computed by tasks over its rows and then over its
 words, gives the latent space. (The space is fitted to the passages that are searched for: the
 leading directions of a corpus are its common words and do not tell one passage from
-another.) Windows of every document are projected and compared with the items by cosine;
+another. Each block of passages has a space of its own with as many dimensions as passages, so
+nothing of a passage is lost however many there are.) Windows of every document are projected and compared with the items by cosine;
 what comes near is aligned by the longest common subsequence of words, which sees through
 changed, left-out and added words, and weaker alignments count only if the item's answer is
 there.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from proofline.llm import tables
 
 BUCKETS = 1 << 16
-# dimensions of the latent space, and more that the random projection takes
+# dimensions of a latent space, and more that the random projection takes
 RANK, MORE = 256, 16
 # words of a window; windows begin every half of that
 WINDOWS = (16, 32)
@@ -40,8 +41,10 @@ LEAST_WORDS = 5
 STRONG, WEAK, ANSWER = 0.75, 0.5, 0.8
 # without a column of answers, the last of an item's words stand for its answer
 ANSWER_WORDS = 6
-# items that one pass over the documents looks for
-ITEM_BLOCK = 20_000
+# passages that share one latent space: as many as it has dimensions, so that it has all of each
+ITEM_BLOCK = RANK
+# blocks that one pass over the documents looks for
+BLOCKS_AT_ONCE = 4
 BATCH = 1000
 WORD = r"[\p{L}\p{N}]+"
 
@@ -185,13 +188,30 @@ def common_length(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _windows(words: np.ndarray, squares: np.ndarray) -> list[tuple]:
+    """Buckets of a document's words and, for each size of window, starts, ends, words that are the first of their bucket, and lengths."""
+    buckets = _bucket(words)
+    order = np.argsort(buckets, kind="stable")
+    again = np.flatnonzero(buckets[order[1:]] == buckets[order[:-1]])
+    before = np.full(len(words), -1)
+    before[order[again + 1]] = order[again]
+    made = []
+    for size in WINDOWS:
+        starts = np.arange(0, max(1, len(words) - size // 2), size // 2)
+        ends = np.minimum(starts + size, len(words))
+        at = starts[:, None] + np.arange(size)
+        inside = at < len(words)
+        at[~inside] = 0
+        here = np.where(inside & (before[at] < starts[:, None]), buckets[at], -1)
+        made.append((starts, ends, here, np.sqrt(np.where(inside, squares[buckets[at]], 0.0).sum(axis=1))))
+    return [buckets, made]
+
+
 class _Search:
-    """The items of one block, ready to be looked for."""
+    """The passages of one block, ready to be looked for."""
 
-    def __init__(self, ids, words, answers, weights, buckets, directions):
-        self.ids = ids
-        self.words = [list(w) for w in words]
-        self.answers = answers
+    def __init__(self, owners, words, weights, buckets, directions):
+        self.owners = owners
         self.weights = weights.astype(np.float32)
         self.row = np.full(BUCKETS, -1, np.int32)
         self.row[buckets] = np.arange(len(buckets))
@@ -213,27 +233,22 @@ class _Search:
             self.brings = self.brings @ self.latent.T
         self.most = np.zeros(BUCKETS)
         self.most[buckets] = np.maximum(best, 0) * self.weights[buckets]
-        self.squares = self.weights.astype(np.float64) ** 2
 
-    def candidates(self, words: np.ndarray, cosine: float) -> list[tuple[int, int, int, float]]:
-        """(item, first word, last word, cosine) of the windows of one document that come near an item.
+    def candidates(self, windows: list, cosine: float) -> list[tuple[int, int, int, float]]:
+        """(item, first word, last word, cosine) of the windows of one document that come near a passage.
 
-        A word counts once in a window but lengthens it as often as it occurs.
+        A word counts once in a window.
         """
-        buckets = _bucket(words)
-        total = np.concatenate([[0.0], np.cumsum(self.squares[buckets])])
-        most = np.concatenate([[0.0], np.cumsum(self.most[buckets])])
+        buckets, sized = windows
         found = []
-        for size in WINDOWS:
-            starts = np.arange(0, max(1, len(words) - size // 2), size // 2)
-            ends = np.minimum(starts + size, len(words))
-            lengths = np.sqrt(total[ends] - total[starts])
-            # no item can be nearer than the words bring at most
-            able = np.flatnonzero(most[ends] - most[starts] >= cosine * lengths * (1 - 1e-5))
+        for starts, ends, here, lengths in sized:
+            most = np.where(here >= 0, self.most[here], 0.0).sum(axis=1)
+            # no passage can be nearer than the words bring at most
+            able = np.flatnonzero(most >= cosine * lengths * (1 - 1e-5))
             for part in np.array_split(able, len(able) // WINDOWS_AT_ONCE + 1):
                 if len(part):
                     found += self._near(buckets, starts[part], ends[part], lengths[part], cosine)
-        return found
+        return [(self.owners[passage], *place) for passage, *place in found]
 
     def _near(self, buckets: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, cosine: float):
         sizes = ends - starts
@@ -249,17 +264,33 @@ class _Search:
             return []
         points = np.add.reduceat(self.brings[self.row[here]], first, axis=0)
         number = window[first]
-        near = (points if self.few else points @ self.latent.T) / lengths[number, None]
+        near = (points if self.few else points @ self.latent.T) / np.maximum(1e-12, lengths[number, None])
         which, items = np.nonzero(near >= cosine)
         number = number[which]
         return list(zip(items.tolist(), starts[number].tolist(), ends[number].tolist(), near[which, items].tolist()))
 
+
+class _Items:
+    """The items of several blocks and the searches for their passages."""
+
+    def __init__(self, ids, words, answers, weights, blocks):
+        self.ids = ids
+        self.words = [list(w) for w in words]
+        self.answers = answers
+        self.squares = weights.astype(np.float64) ** 2
+        self.searches = [_Search(*block[:2], weights, *block[2:]) for block in blocks]
+
     def matches(self, words: np.ndarray, cosine: float) -> dict[int, tuple[float, float, float]]:
         """For each item that is aligned with the document: cosine, share of its words, share of its answer."""
         best: dict[int, tuple[float, float, float]] = {}
         if not len(words):
             return best
-        for item, start, end, near in self.candidates(words, cosine):
+        windows = _windows(words, self.squares)
+        places: dict[tuple[int, int, int], float] = {}
+        for search in self.searches:
+            for *place, near in search.candidates(windows, cosine):
+                places[tuple(place)] = max(places.get(tuple(place), 0.0), near)
+        for (item, start, end), near in places.items():
             own = self.words[item]
             region = words[max(0, start - len(own)) : end + len(own)].tolist()
             share = common_length(own, region) / len(own)
@@ -271,21 +302,21 @@ class _Search:
 
 def _searcher(shared, cosine: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = _Search(*shared.value)
+        items = _Items(*shared.value)
         for batch in batches:
             flat, ends = _lists(batch.column("words"))
             starts = np.concatenate([[0], ends[:-1]])
             found = [
-                (i, search.ids[item], near, share, answer)
+                (i, *items.ids[item], near, share, answer)
                 for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))
-                for item, (share, answer, near) in search.matches(flat[a:b], cosine).items()
+                for item, (share, answer, near) in items.matches(flat[a:b], cosine).items()
             ]
             if found:
-                rows, items, near, share, answer = zip(*found)
+                rows, numbers, names, near, share, answer = zip(*found)
                 taken = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column("doc_id"), taken.column("key"), pa.array(items, pa.int64()), *(pa.array(x, pa.float64()) for x in (near, share, answer))],
-                    ["doc_id", "key", "item_id", "cosine", "word_share", "answer_share"],
+                    [*(taken.column(c) for c in ("row", "doc_id", "key")), *(pa.array(x, pa.int64()) for x in (numbers, names)), *(pa.array(x, pa.float64()) for x in (near, share, answer))],
+                    ["row", "doc_id", "key", "item", "item_id", "cosine", "word_share", "answer_share"],
                 )
 
     return scan
@@ -302,8 +333,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     give the same row each; empty tables give none. Other columns are not looked at.
 
     The word hashes of the documents are kept as a table, as the weights of all documents
-    are needed before the first is searched. Large benchmarks are searched in blocks of
-    ``ITEM_BLOCK`` items.
+    are needed before the first is searched. Benchmarks are searched in blocks of about
+    ``rank`` passages (``ITEM_BLOCK`` at most), each in a space that has all its passages.
     """
     spark = docs.sparkSession
     text = F.coalesce(benchmark["text"].cast("string"), F.lit(""))
@@ -311,27 +342,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     items = benchmark.select(
         benchmark["item_id"].cast("long").alias("item_id"), word_hashes(text).alias("words"), word_hashes(F.coalesce(answer, F.lit(""))).alias("answer")
     )
-    items = tables.stored(items.where(F.col("item_id").isNotNull() & (F.size("words") >= LEAST_WORDS)), "items")
+    items = items.where(F.col("item_id").isNotNull() & (F.size("words") >= LEAST_WORDS))
+    items = tables.stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
     with tables.batch_rows(spark, BATCH):
         named = tables.texts(docs)
-        words = tables.stored(named.select("doc_id", F.xxhash64("text").alias("key"), word_hashes(F.col("text")).alias("words")), "words")
-        schema = "doc_id long, key long, item_id long, cosine double, word_share double, answer_share double"
-        count = items.count()
+        words = named.select("doc_id", F.xxhash64("text").alias("key"), word_hashes(F.col("text")).alias("words"))
+        words = tables.stored(words.withColumn("row", F.monotonically_increasing_id()), "words")
+        names = "row long, doc_id long, key long, item long, item_id long"
+        schema = f"{names}, cosine double, word_share double, answer_share double"
+        cut = tables.stored(items.select("item", F.posexplode(F.array("words")).alias("at", "words")), "passages")
+        count = cut.count()
         if not count:
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], schema).drop("row", "item")
         weights = inverse_frequencies(words)
-        buckets, directions = latent_space(items, weights, count, rank)
-        blocks = math.ceil(count / ITEM_BLOCK)
+        blocks = math.ceil(count / min(rank, ITEM_BLOCK))
+        cut = tables.stored(cut.withColumn("block", F.pmod(F.xxhash64("item", "at"), F.lit(blocks)).cast("int")), "passages")
         found = None
-        for block in range(blocks):
-            mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toPandas()
+        for first in range(0, blocks, BLOCKS_AT_ONCE):
+            some = cut.where(F.col("block").between(first, first + BLOCKS_AT_ONCE - 1))
+            mine = items.join(some.select("item").distinct(), "item", "left_semi").toPandas()
             if not len(mine):
                 continue
             answers = [list(a) if len(a) else list(w[-ANSWER_WORDS:]) for a, w in zip(mine["answer"], mine["words"])]
-            shared = spark.sparkContext.broadcast((mine["item_id"].tolist(), mine["words"].tolist(), answers, weights, buckets, directions))
+            number = {item: i for i, item in enumerate(mine["item"].tolist())}
+            ready = []
+            for block, own in some.toPandas().groupby("block"):
+                space = latent_space(cut.where(F.col("block") == int(block)), weights, len(own), len(own))
+                ready.append(([number[i] for i in own["item"].tolist()], own["words"].tolist(), *space))
+            ids = list(zip(mine["item"].tolist(), mine["item_id"].tolist()))
+            shared = spark.sparkContext.broadcast((ids, mine["words"].tolist(), answers, weights, ready))
             part = tables.stored(words.mapInArrow(_searcher(shared, cosine), schema), "leaks")
             found = part if found is None else found.unionByName(part)
-    return found
+    # an item may be found by passages of several passes
+    best = F.max(F.struct("word_share", "answer_share", "cosine")).alias("best")
+    once = found.groupBy("row", "doc_id", "key", "item", "item_id").agg(best)
+    return once.select("doc_id", "key", "item_id", "best.cosine", "best.word_share", "best.answer_share")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
