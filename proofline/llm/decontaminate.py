@@ -6,7 +6,8 @@ matrix of the benchmark's passages, computed by tasks over its rows and then ove
 words, gives the latent space. (The space is fitted to the passages that are searched for: the
 leading directions of a corpus are its common words and do not tell one passage from
 another. Each block of passages has a space of its own with as many dimensions as passages, so
-nothing of a passage is lost however many there are.) Windows of every document are projected and compared with the items by cosine;
+nothing of a passage is lost however many there are.) Long items are cut into passages of a
+window's size. Windows of every document are projected and compared with the items by cosine;
 what comes near is aligned by the longest common subsequence of words, which sees through
 changed, left-out and added words, and weaker alignments count only if the item's answer is
 there.
@@ -45,6 +46,8 @@ ANSWER_WORDS = 6
 ITEM_BLOCK = RANK
 # blocks that one pass over the documents looks for
 BLOCKS_AT_ONCE = 4
+# items with more words are looked for by passages of that many words, one every so many
+WHOLE, PASSAGE, PASSAGE_STEP = 64, 32, 16
 BATCH = 1000
 WORD = r"[\p{L}\p{N}]+"
 
@@ -188,6 +191,16 @@ def common_length(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def passages(words: Column) -> Column:
+    """The whole of a short item; overlapping passages of a long one, the last up to its end."""
+    last = F.size(words) - PASSAGE
+    many = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.greatest(last, F.lit(0)) / PASSAGE_STEP).cast("int")),
+        lambda k: F.slice(words, F.least(k * PASSAGE_STEP, last) + 1, PASSAGE),
+    )
+    return F.when(F.size(words) <= WHOLE, F.array(words)).otherwise(many)
+
+
 def _windows(words: np.ndarray, squares: np.ndarray) -> list[tuple]:
     """Buckets of a document's words and, for each size of window, starts, ends, words that are the first of their bucket, and lengths."""
     buckets = _bucket(words)
@@ -203,7 +216,7 @@ def _windows(words: np.ndarray, squares: np.ndarray) -> list[tuple]:
         inside = at < len(words)
         at[~inside] = 0
         here = np.where(inside & (before[at] < starts[:, None]), buckets[at], -1)
-        made.append((starts, ends, here, np.sqrt(np.where(inside, squares[buckets[at]], 0.0).sum(axis=1))))
+        made.append((starts, ends, here, np.sqrt(np.where(here >= 0, squares[here], 0.0).sum(axis=1))))
     return [buckets, made]
 
 
@@ -350,7 +363,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         words = tables.stored(words.withColumn("row", F.monotonically_increasing_id()), "words")
         names = "row long, doc_id long, key long, item long, item_id long"
         schema = f"{names}, cosine double, word_share double, answer_share double"
-        cut = tables.stored(items.select("item", F.posexplode(F.array("words")).alias("at", "words")), "passages")
+        cut = tables.stored(items.select("item", F.posexplode(passages(F.col("words"))).alias("at", "words")), "passages")
         count = cut.count()
         if not count:
             return spark.createDataFrame([], schema).drop("row", "item")

@@ -31,3 +31,13 @@ def test_many_items_are_found(spark, docs_of):
             assert plain_common(own, told) >= decontaminate.STRONG * len(own)
         rows.append((i, " ".join(say(int(draw.integers(0, 60))) + told + say(30))))
     assert planted(spark, docs_of, items, rows) == [(i, i) for i in range(2000)]
+
+
+def test_long_and_repetitive_items_are_found(spark, docs_of):
+    draw, say = speaker(22)
+    items = [say(n) for n in (65, 100, 300, 400, 400, 1000, 3000)]
+    # few words over and over
+    items += [say(4) * 8 for _ in range(3)]
+    rows = [(i, " ".join(say(int(draw.integers(5, 60))) + own + say(40))) for i, own in enumerate(items)]
+    rows += [(100, " ".join(items[3][:150]))]
+    assert planted(spark, docs_of, items, rows) == [(i, i) for i in range(len(items))]
