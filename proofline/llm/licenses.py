@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofline.functions.lookups import lookup_join
 from proofline.llm import tables
 
-# Sentences of public licence texts and notices, by identifier.
+# Sentences of public licence texts and notices, by identifier. A stop before a blank ends one.
 SENTENCES = {
     "apache-notice": "Licensed under the Apache License, Version 2.0",
     "apache-notice-you": 'Licensed under the Apache License, Version 2.0 (the "License")',
@@ -38,11 +38,14 @@ SENTENCES = {
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl3-notice-licensed": "Licensed under the GNU General Public License, version 3",
     "gpl2-notice": "This work is licensed under the GNU General Public License, version 2",
-    "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
-    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl-free": "This program is free software",
+    "gpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "gpl2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    "gpl2-version": "either version 2 of the License, or (at your option) any later version",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
     "lgpl-notice": "This work is licensed under the GNU Lesser General Public License, version 3",
-    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    "mpl-version": "2.0",
     "cc-by": "Licensed under CC BY 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
@@ -67,11 +70,11 @@ RULES = [
     ("ISC", ["isc-grant"]),
     ("GPL-3.0", ["gpl3-notice"]),
     ("GPL-3.0", ["gpl3-notice-licensed"]),
-    ("GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
+    ("GPL-3.0-or-later", ["gpl-free", "gpl3-terms", "gpl-hope"]),
     ("GPL-2.0", ["gpl2-notice"]),
-    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope"]),
+    ("GPL-2.0-or-later", ["gpl-free", "gpl2-terms", "gpl2-version", "gpl-hope"]),
     ("LGPL-3.0", ["lgpl-notice"]),
-    ("MPL-2.0", ["mpl-notice"]),
+    ("MPL-2.0", ["mpl-notice", "mpl-version"]),
     ("CC-BY-4.0", ["cc-by"]),
     ("CC-BY-SA-4.0", ["cc-by-sa"]),
     ("CC-BY-NC-4.0", ["cc-by-nc"]),
@@ -103,18 +106,33 @@ def _sentences(text: Column, ends: str) -> Column:
     return F.transform(F.split(text, ends, -1), normalised)
 
 
+def _pieces(spark: SparkSession, sentences: Mapping[str, str] | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Known sentences cut as texts are: (sentence, id), and the (id, at, piece) that identifiers stand for.
+
+    The pieces of a sentence with stops inside are called ``id/0``, ``id/1`` and so on; pieces
+    that are the same have the least of their names.
+    """
+    if not isinstance(sentences, DataFrame):
+        sentences = spark.createDataFrame(list(sentences.items()), "id string, sentence string")
+    own = F.filter(_sentences(F.regexp_replace(F.trim("sentence"), r"\s+", " "), _STOP), lambda s: s != "")
+    cut = sentences.select("id", own.alias("own")).select("id", F.size("own").alias("n"), F.posexplode("own").alias("at", "sentence"))
+    name = F.when(F.col("n") > 1, F.concat_ws("/", "id", F.col("at").cast("string"))).otherwise(F.col("id"))
+    cut = tables.stored(cut.select("id", "at", "sentence", name.alias("name")), "pieces")
+    known = tables.stored(cut.groupBy("sentence").agg(F.min("name").alias("piece")), "sentences")
+    return known.withColumnRenamed("piece", "id"), tables.stored(cut.join(known, "sentence").select("id", "at", "piece"), "pieces")
+
+
 def identified(docs: DataFrame, sentences: Mapping[str, str] | DataFrame = SENTENCES) -> DataFrame:
     """row, doc_id and the known sentences of each row: ``found``, an array of (pass, at, id) in order.
 
     Sentences are looked for twice: with every line an end (pass 0), and with lines joined up
     (pass 1), as licence texts are often wrapped. ``sentences`` maps identifiers to texts,
-    or is a table (id, sentence) of any size.
+    or is a table (id, sentence) of any size; sentences with stops inside are known by their pieces.
     """
-    spark = docs.sparkSession
-    if not isinstance(sentences, DataFrame):
-        sentences = spark.createDataFrame(list(sentences.items()), "id string, sentence string")
-    known = sentences.select(normalised(F.col("sentence")).alias("sentence"), "id").where("sentence <> ''")
-    known = tables.stored(known.groupBy("sentence").agg(F.min("id").alias("id")), "sentences")
+    return _identified(docs, _pieces(docs.sparkSession, sentences)[0])
+
+
+def _identified(docs: DataFrame, known: DataFrame) -> DataFrame:
     text = F.col("text")
     cut = [_sentences(text, _LINE), _sentences(F.regexp_replace(text, r"\s+", " "), _STOP)]
     count = known.count()
@@ -152,11 +170,15 @@ def licenses(
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame([(name, list(ids)) for name, ids in rules], "license string, ids array<string>")
     numbered = rules.where(F.size("ids") > 0).select(F.xxhash64("license", F.to_json("ids")).alias("rule"), "license", "ids").distinct()
-    numbered = tables.stored(numbered, "rules")
+    known, pieces = _pieces(spark, sentences)
+    # identifiers of sentences with stops inside stand for their pieces, in order
+    listed = numbered.select("rule", "license", F.posexplode("ids").alias("step", "id")).join(pieces, "id", "left")
+    listed = listed.groupBy("rule", "license").agg(F.array_sort(F.collect_list(F.struct("step", "at", F.coalesce("piece", "id").alias("id")))).alias("ids"))
+    numbered = tables.stored(listed.select("rule", "license", F.col("ids.id").alias("ids")), "rules")
     # an identifier is looked up with all the places that it has in rules
     steps = numbered.select("rule", "license", F.size("ids").alias("size"), F.posexplode("ids").alias("step", "id"))
     steps = tables.stored(steps.groupBy("id").agg(F.collect_list(F.struct("rule", "license", "size", "step")).alias("steps")), "steps")
-    rows = tables.stored(identified(docs, sentences), "identified")
+    rows = tables.stored(_identified(docs, known), "identified")
     met = lookup_join(rows.where(F.col("found").isNotNull()).select("row", F.inline("found")), steps, ["id"], "inner")
     met = met.select("row", "pass", "at", F.inline("steps"))
     # the steps of a rule in the order of the text: a rule holds if they come one after the other
