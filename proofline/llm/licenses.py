@@ -1,7 +1,6 @@
 """Licences recognised by their sentences.
 
-Texts are cut into sentences, sentences are normalised (case, punctuation, spelling, names
-and years of copyright lines), and those that are known become identifiers. A licence is
+Texts are cut into sentences, sentences are normalised (case, punctuation, spelling), and those that are known become identifiers. A licence is
 recognised where the identifiers of one of its rules stand in the document in the rule's
 order, other sentences between them or not. Everything is DataFrame expressions; a text
 that has no known sentence leaves its row without a shuffle.
@@ -90,6 +89,13 @@ LISTED = 1000
 # ends of sentences: a stop before white space; where lines are not joined, their ends too
 _STOP = r"(?<=[.;:!?])\s+"
 _LINE = r"[\r\n]+|" + _STOP
+# lines that are no part of a sentence: titles of licences, copyright notices
+_TITLE = r"(?:The |THE )?(?:MIT|ISC|BSD|[234]-[Cc]lause|New|Simplified|Modified|Apache|GNU|Mozilla)\b[\w .,\"-]{0,50}\b(?i:licen[cs]e)\b[\w .,()\"-]{0,30}"
+_NOTICE = r"(?i:copyright|\(c\)|©)[ \t,:]*(?i:\(c\)|©|\d{4}|<|\[).*|(?i:all rights reserved)\.?"
+_ALONE = rf"(?m)^[ \t]*(?:{_TITLE}|{_NOTICE})[ \t]*$"
+_BLANK = r"(?>\r\n|\r|\n)[ \t]*(?>\r\n|\r|\n)"
+# stands for the end of a paragraph; no text has it once white space is joined
+_END = "\u2029"
 
 
 def normalised(text: Column) -> Column:
@@ -125,8 +131,9 @@ def _pieces(spark: SparkSession, sentences: Mapping[str, str] | DataFrame) -> tu
 def identified(docs: DataFrame, sentences: Mapping[str, str] | DataFrame = SENTENCES) -> DataFrame:
     """row, doc_id and the known sentences of each row: ``found``, an array of (pass, at, id) in order.
 
-    Sentences are looked for twice: with every line an end (pass 0), and with lines joined up
-    (pass 1), as licence texts are often wrapped. ``sentences`` maps identifiers to texts,
+    Sentences are looked for three times: with every line an end (pass 0), with all lines joined up
+    (pass 1), and with those of a paragraph joined up (pass 2), as licence texts are often
+    wrapped. Blank lines, titles and copyright notices end a paragraph. ``sentences`` maps identifiers to texts,
     or is a table (id, sentence) of any size; sentences with stops inside are known by their pieces.
     """
     return _identified(docs, _pieces(docs.sparkSession, sentences)[0])
@@ -134,7 +141,11 @@ def identified(docs: DataFrame, sentences: Mapping[str, str] | DataFrame = SENTE
 
 def _identified(docs: DataFrame, known: DataFrame) -> DataFrame:
     text = F.col("text")
-    cut = [_sentences(text, _LINE), _sentences(F.regexp_replace(text, r"\s+", " "), _STOP)]
+    apart = F.regexp_replace(F.regexp_replace(text, _ALONE, f"{_END}$0{_END}"), _BLANK, _END)
+    apart = _sentences(F.regexp_replace(apart, r"\s+", " "), f"{_END}|{_STOP}")
+    # a text of one line has no paragraphs
+    apart = F.when(text.rlike(r"[\r\n]"), apart).otherwise(F.array().cast("array<string>"))
+    cut = [_sentences(text, _LINE), _sentences(F.regexp_replace(text, r"\s+", " "), _STOP), apart]
     count = known.count()
     named = tables.texts(docs).select("doc_id", *[c.alias(f"pass{i}") for i, c in enumerate(cut)])
 
@@ -147,7 +158,7 @@ def _identified(docs: DataFrame, known: DataFrame) -> DataFrame:
         keep = (lambda s: s["sentence"].isin(*listed)) if listed else (lambda s: F.lit(False))
     else:
         keep = lambda s: s["sentence"] != ""
-    scanned = named.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(placed(0, keep), placed(1, keep)).alias("own"))
+    scanned = named.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*[placed(i, keep) for i in range(len(cut))]).alias("own"))
     scanned = tables.stored(scanned, "sentences")
     hits = lookup_join(scanned.select("row", F.inline("own")), known, ["sentence"], "inner")
     hits = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pass", "at", "id"))).alias("found"))
@@ -185,9 +196,10 @@ def licenses(
     in_order = met.groupBy("row", "pass", "rule", "license", "size").agg(F.array_sort(F.collect_list(F.struct("at", "step"))).alias("places"))
     reached = F.aggregate("places", F.lit(0), lambda next_, p: F.when(p["step"] == next_, next_ + 1).otherwise(next_))
     holding = in_order.where(reached == F.col("size")).groupBy("row").agg(F.array_sort(F.collect_set("license")).alias("names"))
-    # both passes see most sentences; the first is told, the second where the first saw none
-    first = F.filter("found", lambda f: f["pass"] == 0)
-    told = F.when(F.size(first) > 0, first).otherwise(F.col("found"))
+    # all passes see most sentences; the first that saw any is told
+    of = lambda number: F.filter("found", lambda f: f["pass"] == number)
+    first, second, third = of(0), of(1), of(2)
+    told = F.when(F.size(first) > 0, first).when(F.size(second) > 0, second).otherwise(third)
     return rows.join(holding, "row", "left").select(
         "doc_id",
         F.coalesce(F.array_join("names", ","), F.lit("")).alias("licenses"),

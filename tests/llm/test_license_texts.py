@@ -33,3 +33,25 @@ def test_given_sentences_with_stops_inside(spark, docs_of):
     docs = docs_of([(1, "One thing; another thing, v. 3. Then more."), (2, "One thing. Then more."), (3, "One thing; last.")])
     got = licenses.licenses(docs, {"a": "One thing; another thing, v. 3", "b": "One thing; last", "c": "then more"}, [("A", ["a", "c"]), ("B", ["b"])])
     assert {r["doc_id"]: r["licenses"] for r in got.collect()} == {1: "A", 2: "", 3: "B"}
+
+
+AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.'
+S = licenses.SENTENCES
+# title, copyright notice and paragraphs
+WRAPPED = {
+    "MIT": ["MIT License", "Copyright (c) 2020 Some Body", f"{S['mit-grant']}:", f"{S['mit-condition']}.", f"{S['as-is-software']}."],
+    "ISC": ["ISC License", "Copyright 2020, Some Body", f"{S['isc-grant']}.", AS_IS],
+    "BSD-2-Clause,BSD-3-Clause": ["BSD 3-Clause License", "Copyright (c) 2020, Some Body", f"{S['bsd-grant']}:", f"1. {S['bsd-source']}.", f"2. {S['bsd-binary']}.", f"3. {S['bsd-endorse']}."],
+    "GPL-3.0-or-later": ["One line to give the name and a brief idea", "Copyright (C) 2020  Some Body", *NOTICES["GPL-3.0-or-later"].split("\n\n")],
+    "GPL-2.0-or-later": ["A tool", "Copyright (C) 2020  Some Body", *NOTICES["GPL-2.0-or-later"].split("\n\n")],
+}
+
+
+def test_standard_texts_wrapped_at_72_columns(spark, docs_of):
+    parts = [[textwrap.fill(p, 72) for p in own] for own in WRAPPED.values()]
+    texts = ["\n\n".join(own) for own in parts]
+    # without blank lines around title and notice, and with the line ends of other systems
+    texts += ["\n".join(own[1:3]) + "\n\n" + "\n\n".join(own[3:]) for own in parts]
+    texts += [t.replace("\n", "\r\n") for t in texts]
+    texts += ["\n".join(parts[0][:3]) + "\n" + "\n".join(parts[0][3:])]
+    assert names_of(docs_of, texts) == [*WRAPPED] * 4 + ["MIT"]
