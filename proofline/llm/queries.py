@@ -7,7 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import bitplanes, cascade, covertree, decontaminate, licenses, packing, pii, quality, secrets, simhash, tables
+from proofline.llm import (
+    bitplanes,
+    cascade,
+    collocations,
+    covertree,
+    decontaminate,
+    licenses,
+    packing,
+    pii,
+    quality,
+    search,
+    secrets,
+    simhash,
+    tables,
+)
 from proofline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +161,76 @@ def op9_best_fit(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op10_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
     return covertree.similar_vectors(table(spark, sf, "embeddings"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = (
+    f"list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), "
+    "lambda t: t <> '')"
+)
+
+
+@query(
+    "op12_hybrid_search",
+    f"""
+    WITH cut AS (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS ts FROM documents),
+    docs AS (SELECT row_id, doc_id, ts, len(ts) AS n FROM cut WHERE len(ts) > 0),
+    corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM docs),
+    posts AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(ts) AS term FROM docs) GROUP BY ALL),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * max(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM posts, corpus GROUP BY term
+    ),
+    asked AS (SELECT DISTINCT item_id, text FROM benchmark),
+    items AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM asked) GROUP BY ALL),
+    scored AS (
+        SELECT item_id, row_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * corpus.docs) // words)))) AS BIGINT) AS score
+        FROM items JOIN weights USING (term) JOIN posts USING (term) JOIN docs USING (row_id), corpus GROUP BY item_id, row_id
+    ),
+    ranked AS (
+        SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+        FROM scored JOIN docs USING (row_id) WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def op12_hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query(
+    "op13_suffix_subtrees",
+    f"""
+    WITH texts AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+    pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+    cut AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM pieces),
+    starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM cut),
+    grams AS (
+        SELECT lang, 1 AS k, ws[i] AS phrase FROM starts
+        UNION ALL SELECT lang, 2, ws[i] || ' ' || ws[i + 1] FROM starts WHERE i + 1 <= len(ws)
+        UNION ALL SELECT lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM starts WHERE i + 2 <= len(ws)
+    ),
+    counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    cands AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM counts WHERE k > 1 AND f >= 10),
+    cuts AS (
+        SELECT lang, phrase, a, 1 AS place, p[1] AS one, array_to_string(p[2:k], ' ') AS rest FROM cands
+        UNION ALL SELECT lang, phrase, a, 2, p[1] || ' ' || p[2], p[3] FROM cands WHERE k = 3
+    ),
+    scored AS (
+        SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, place, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = one JOIN counts y ON y.lang = c.lang AND y.phrase = rest
+    ),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+    inside AS (
+        SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, p[1] || ' ' || p[2] AS phrase, a FROM cands WHERE k = 3 UNION ALL SELECT lang, p[2] || ' ' || p[3], a FROM cands WHERE k = 3
+        ) GROUP BY ALL
+    ),
+    kept AS (SELECT s.* FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase WHERE longer IS NULL OR 100 * longer < 50 * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT ranked.lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+    """,
+)
+def op13_suffix_subtrees(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
