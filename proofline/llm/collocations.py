@@ -54,14 +54,15 @@ def pieces_of(text: bytes) -> Iterator[list[bytes]]:
 class _Counts:
     """Counts by language while they are gathered, handed on before they grow large."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
         self.by: dict[str, Counter] = {}
+        self.most = most
 
     def of(self, lang: str) -> Counter:
         return self.by.setdefault(lang, Counter())
 
     def full(self) -> bool:
-        return sum(map(len, self.by.values())) > HELD
+        return sum(map(len, self.by.values())) > self.most
 
     def taken(self) -> Iterator[pa.RecordBatch]:
         for lang, counts in self.by.items():
@@ -73,15 +74,19 @@ class _Counts:
         self.by = {}
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = _Counts()
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            for words in pieces_of(text):
-                held.of(lang).update(words)
-            if held.full():
-                yield from held.taken()
-    yield from held.taken()
+def _words(most: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Counts(most)
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                counts = held.of(lang)
+                for words in pieces_of(text):
+                    counts.update(words)
+                if held.full():
+                    yield from held.taken()
+        yield from held.taken()
+
+    return scan
 
 
 class _Frequent:
@@ -93,14 +98,14 @@ class _Frequent:
     def of(self, lang: str):
         seed = xxhash.xxh64_intdigest(lang.encode(), 42)
         known = self.known.setdefault(lang, {})
-        bits = self.bits
+        bits, last = self.bits, len(self.bits) * 64 - 1
 
         def may(word: bytes) -> bool:
             found = known.get(word)
             if found is None:
                 if len(known) > HELD:
                     known.clear()
-                slot = xxhash.xxh64_intdigest(word, seed) & (FILTER_BITS - 1)
+                slot = xxhash.xxh64_intdigest(word, seed) & last
                 found = known[word] = bool((int(bits[slot >> 6]) >> (slot & 63)) & 1)
             return found
 
@@ -121,9 +126,9 @@ def _runs(words: list[bytes], may) -> Iterator[list[bytes]]:
             start = i + 1
 
 
-def _suffixes(shared):
+def _suffixes(shared, most: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, frequent = _Counts(), _Frequent(shared.value)
+        held, frequent = _Counts(most), _Frequent(shared.value)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 may, counts = frequent.of(lang), held.of(lang)
@@ -207,7 +212,7 @@ def counted_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
     named = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
-    counted = named.mapInArrow(_words, "lang string, phrase string, n long")
+    counted = named.mapInArrow(_words(HELD), "lang string, phrase string, n long")
     words = tables.stored(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     # the filter has FILTER_BITS bits, whatever the number of words
     slot = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
@@ -221,7 +226,7 @@ def counted_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     # at most SPLIT_WORDS words can have more than this share of all places
     heavy = max(GROUP_PLACES // 8, -(-places // SPLIT_WORDS))
     split = tables.stored(words.where(F.col("n") > heavy).select("lang", F.col("phrase").alias("w1"), F.lit(True).alias("split")), "split")
-    rows = named.mapInArrow(_suffixes(spark.sparkContext.broadcast(bits)), "lang string, phrase string, n long")
+    rows = named.mapInArrow(_suffixes(spark.sparkContext.broadcast(bits), HELD), "lang string, phrase string, n long")
     parts = F.split("phrase", " ", DEPTH)
     rows = rows.select("lang", "phrase", "n", parts[0].alias("w1"), parts[1].alias("w2"), F.get(parts, 2).alias("w3"))
     rows = rows.join(F.broadcast(split), ["lang", "w1"], "left").withColumn("split", F.coalesce("split", F.lit(False)))

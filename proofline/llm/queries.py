@@ -14,6 +14,7 @@ from proofline.llm import (
     covertree,
     decontaminate,
     licenses,
+    maintext,
     packing,
     pii,
     quality,
@@ -163,6 +164,11 @@ def op10_cover_tree(spark: SparkSession, sf: str) -> DataFrame:
     return covertree.similar_vectors(table(spark, sf, "embeddings"))
 
 
+@query("op11_nearest_pages")
+def op11_nearest_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return maintext.main_text(table(spark, sf, "pages"))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = (
     f"list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), "

@@ -49,8 +49,8 @@ def terms_of(text: bytes) -> list[bytes]:
 class _Segment:
     """Postings of some documents while they are gathered."""
 
-    def __init__(self, vocabulary: dict[bytes, int]) -> None:
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: dict[bytes, int], most: int) -> None:
+        self.vocabulary, self.most = vocabulary, most
         self.clear()
 
     def clear(self) -> None:
@@ -76,7 +76,7 @@ class _Segment:
             self.lengths.append(len(words))
 
     def full(self) -> bool:
-        return self.docs >= SEGMENT_DOCS or len(self.terms) >= SEGMENT_POSTINGS
+        return self.docs >= self.most or len(self.terms) >= SEGMENT_POSTINGS
 
     def taken(self) -> pa.RecordBatch:
         """One row; documents are numbered by their length, so that blocks hold like ones."""
@@ -100,9 +100,9 @@ class _Segment:
         return pa.RecordBatch.from_arrays(row, ["docs", "words", "ids", "unnamed", "lengths", "terms", "ends", "at", "counts"])
 
 
-def _indexer(vocabulary):
+def _indexer(vocabulary, most: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = _Segment(vocabulary.value)
+        segment = _Segment(vocabulary.value, most)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 segment.add(doc_id, text)
@@ -153,7 +153,8 @@ class _Best:
 class _Lists:
     """The posting lists of a segment with what each posting adds per unit of weight."""
 
-    def __init__(self, row: dict[str, bytes], docs: int, words: int) -> None:
+    def __init__(self, row: dict[str, bytes], docs: int, words: int, size: int, share: float) -> None:
+        self.size, self.share = size, share
         self.ids, self.lengths = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["lengths"], "<i8")
         self.unnamed = np.frombuffer(row["unnamed"], "u1")
         self.names, self.ends = np.frombuffer(row["terms"], "<i4"), np.frombuffer(row["ends"], "<i8")
@@ -163,9 +164,9 @@ class _Lists:
         norm = np.array([75 + 25 * n * docs // words for n in self.lengths.tolist()], np.int64)
         self.adds = (1_000_000_000 * count) // (1000 * count + 12 * norm[self.at])
         self.starts = np.concatenate([[0], self.ends[:-1]])
-        self.blocks = -(-len(self.ids) // BLOCK_DOCS)
+        self.blocks = -(-len(self.ids) // self.size)
         # where each list enters a new block, and the highest value it has there
-        block = self.at // BLOCK_DOCS
+        block = self.at // self.size
         new = np.ones(len(block), bool)
         new[1:] = block[1:] != block[:-1]
         new[self.starts] = True
@@ -185,13 +186,13 @@ class _Lists:
         sizes = self.ends[lists] - self.starts[lists]
         order = np.argsort(sizes, kind="stable")
         lists, weights, sizes = lists[order], weights[order], sizes[order]
-        short = int(np.searchsorted(np.cumsum(sizes), SHORT_SHARE * len(self.ids), side="right"))
+        short = int(np.searchsorted(np.cumsum(sizes), self.share * len(self.ids), side="right"))
         # term at a time: the short lists become one list of accumulators
-        sums = np.zeros(self.blocks * BLOCK_DOCS, np.int64)
+        sums = np.zeros(self.blocks * self.size, np.int64)
         for j, w in zip(lists[:short].tolist(), weights[:short].tolist()):
             own = slice(self.starts[j], self.ends[j])
             sums[self.at[own]] += w * self.adds[own]
-        bound = sums.reshape(self.blocks, BLOCK_DOCS).max(axis=1)
+        bound = sums.reshape(self.blocks, self.size).max(axis=1)
         long = list(zip(lists[short:].tolist(), weights[short:].tolist()))
         for j, w in long:
             own = slice(self.first_enter[j], self.last_enter[j])
@@ -210,7 +211,7 @@ class _Lists:
     def _score(self, blocks: np.ndarray, sums: np.ndarray, long: list, best: _Best, least: int) -> None:
         slot = np.full(self.blocks, -1, np.int64)
         slot[blocks] = np.arange(len(blocks))
-        score = sums.reshape(self.blocks, BLOCK_DOCS)[blocks].reshape(-1)
+        score = sums.reshape(self.blocks, self.size)[blocks].reshape(-1)
         for j, w in long:
             enters = np.arange(self.first_enter[j], self.last_enter[j])
             enters = enters[slot[self.in_block[enters]] >= 0]
@@ -221,14 +222,14 @@ class _Lists:
             many = end - start
             own = np.repeat(start - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
             at = self.at[own]
-            score[slot[at // BLOCK_DOCS] * BLOCK_DOCS + at % BLOCK_DOCS] += w * self.adds[own]
+            score[slot[at // self.size] * self.size + at % self.size] += w * self.adds[own]
         good = np.flatnonzero(score >= least)
         if len(good):
-            doc = blocks[good // BLOCK_DOCS] * BLOCK_DOCS + good % BLOCK_DOCS
+            doc = blocks[good // self.size] * self.size + good % self.size
             best.add(score[good], self.unnamed[doc], self.ids[doc])
 
 
-def _searcher(shared, docs: int, words: int, k: int):
+def _searcher(shared, docs: int, words: int, k: int, size: int, share: float):
     names = ("ids", "unnamed", "lengths", "terms", "ends", "at", "counts")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +239,7 @@ def _searcher(shared, docs: int, words: int, k: int):
             for row in batch.to_pylist():
                 if not row["terms"]:
                     continue
-                lists = _Lists({c: row[c] for c in names}, docs, words)
+                lists = _Lists({c: row[c] for c in names}, docs, words, size, share)
                 for search, best in zip(searches, found):
                     lists.run(search, best)
         many = [len(b.score) for b in found]
@@ -262,7 +263,7 @@ def _block(spark: SparkSession, named: DataFrame, texts: dict[int, bytes], k: in
     vocabulary = {t: i for i, t in enumerate(sorted({t for found in words.values() for t in found}))}
     shared = sc.broadcast(vocabulary)
     binary = named.select("doc_id", F.col("text").cast("binary").alias("text"))
-    segments = tables.stored(binary.mapInArrow(_indexer(shared), SEGMENT), "segments")
+    segments = tables.stored(binary.mapInArrow(_indexer(shared, SEGMENT_DOCS), SEGMENT), "segments")
     with tables.batch_rows(spark, 1):
         docs, total = segments.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
         held = segments.select("terms", "ends").mapInArrow(_held, "term int, df long")
@@ -274,7 +275,7 @@ def _block(spark: SparkSession, named: DataFrame, texts: dict[int, bytes], k: in
             many = {vocabulary[t]: n for t, n in found.items()}
             weights = [many[t] * weight(docs, df[t]) if t in df else 0 for t in terms]
             searches.append(Search(key, np.array(terms, np.int32), np.array(weights, np.int64)))
-        run = segments.mapInArrow(_searcher(sc.broadcast(searches), docs, total, k), "key long, doc_id long, score long")
+        run = segments.mapInArrow(_searcher(sc.broadcast(searches), docs, total, k, BLOCK_DOCS, SHORT_SHARE), "key long, doc_id long, score long")
         return tables.stored(run, "found")
 
 
