@@ -64,7 +64,7 @@ def test_the_result_does_not_depend_on_partitions(spark, monkeypatch):
     for i in range(120):
         site = draw.randrange(4)
         parts = [f"text {draw.randrange(30)}" for _ in range(draw.randrange(6))]
-        rows.append((i, f"http://h{site}.example/{'abc'[i % 3]}/{draw.randrange(50)}?q={i % 2}", page(parts, frame=(f"menu {site}", "Home"), foot=f"foot {site}")))
+        rows.append((i, f"http://h{site}.example/{'abc'[i % 3]}/{draw.randrange(50)}-{i}?q={i % 2}", page(parts, frame=(f"menu {site}", "Home"), foot=f"foot {site}")))
     once = extracted(spark, rows, 1)
     assert extracted(spark, rows[::-1], 7) == once == by_force(rows)
     monkeypatch.setattr(M, "CHUNK", 5)
