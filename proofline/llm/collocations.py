@@ -1,9 +1,9 @@
 """Collocations: phrases that occur often for how often their parts do, by suffix subtrees.
 
 Words are counted first, in each language. Every place in a piece of text then starts a suffix
-of up to three words. Suffixes are grouped by their prefix so that a group's rows keep to a
-budget: by the first word, or by the second and a part of the third as well where a first
-word is too frequent for one group. In each group the suffixes are sorted, which
+of up to three words. Suffixes are grouped by their first two words, and by a part of the
+third as well where both of these are so frequent that one group might not hold them, so that a
+group's rows keep to a budget. In each group the suffixes are sorted by their prefix, which
 is the suffix tree cut at depth three, walked from left to right: the count of a phrase is the
 total of the leaves below it. Groups do not need each other; phrases of a split prefix have
 a partial count from each and are summed.
@@ -14,24 +14,24 @@ candidate cut a piece, as no phrase across them can be one.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proofline.functions.lookups import lookup_join
 from proofline.functions.ordered import top_per_group
 from proofline.llm import tables
 
-DEPTH = 3
 # places of words that a group may hold: the budget of a subtree
 GROUP_PLACES = 2_000_000
-# first words that are split over groups, at most, and the parts of a third word they are split by
-SPLIT_WORDS, SPLIT_PARTS = 10_000, 8
+# words whose pairs are split over groups, at most, and the parts of a third word they are split by
+SPLIT_WORDS, SPLIT_PARTS = 500, 8
 # different suffixes that a task counts before it hands them on
 HELD = 400_000
 # bits of the filter of frequent words; when it is full it only saves less
@@ -64,16 +64,20 @@ class _Counts:
     def full(self) -> bool:
         return sum(map(len, self.by.values())) > self.most
 
-    def taken(self) -> Iterator[pa.RecordBatch]:
+    def chunks(self) -> Iterator[tuple[str, list[bytes], list[int]]]:
         for lang, counts in self.by.items():
             phrases, n = list(counts), list(counts.values())
             for i in range(0, len(n), ROWS):
-                own = phrases[i : i + ROWS]
-                row = [pa.array([lang] * len(own)), pa.array(own, pa.binary()).cast(pa.string()), pa.array(n[i : i + ROWS], pa.int64())]
-                yield pa.RecordBatch.from_arrays(row, ["lang", "phrase", "n"])
+                yield lang, phrases[i : i + ROWS], n[i : i + ROWS]
         self.by = {}
 
 
+def _counted(held: _Counts) -> Iterator[pa.RecordBatch]:
+    for lang, phrases, n in held.chunks():
+        row = [pa.array([lang] * len(n)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
+        yield pa.RecordBatch.from_arrays(row, ["lang", "phrase", "n"])
+
+
 def _words(most: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Counts(most)
@@ -83,8 +87,8 @@ def _words(most: int):
                 for words in pieces_of(text):
                     counts.update(words)
                 if held.full():
-                    yield from held.taken()
-        yield from held.taken()
+                    yield from _counted(held)
+        yield from _counted(held)
 
     return scan
 
@@ -127,50 +131,60 @@ def _runs(words: list[bytes], may) -> Iterator[list[bytes]]:
 
 
 def _suffixes(shared, most: int):
+    """(lang, pair, third, n, part): counted suffixes; third is empty at the end of a run, part -1 where a pair is whole."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, frequent = _Counts(most), _Frequent(shared.value)
+        bits, heavy = shared.value
+        pairs = {lang: {b" ".join((x, y)) for x in words for y in words} for lang, words in heavy.items()}
+        held, frequent = _Counts(most), _Frequent(bits)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 may, counts = frequent.of(lang), held.of(lang)
                 for words in pieces_of(text):
                     for run in _runs(words, may):
                         if len(run) > 1:
-                            counts.update(map(b" ".join, zip(run, run[1:], run[2:])))
-                            counts[b" ".join(run[-2:])] += 1
+                            counts.update(map(b" ".join, zip(run, run[1:], [*run[2:], b""])))
                 if held.full():
-                    yield from held.taken()
-        yield from held.taken()
+                    yield from _parted(held, pairs)
+        yield from _parted(held, pairs)
 
     return scan
 
 
+def _parted(held: _Counts, pairs: dict[str, set[bytes]]) -> Iterator[pa.RecordBatch]:
+    for lang, phrases, n in held.chunks():
+        pair, _, third = zip(*(p.rpartition(b" ") for p in phrases))
+        split = pairs.get(lang, ())
+        part = [zlib.crc32(t) % SPLIT_PARTS if p in split else -1 for p, t in zip(pair, third)] if split else [-1] * len(n)
+        texts = [pa.array(x, pa.binary()).cast(pa.string()) for x in (pair, third)]
+        row = [pa.array([lang] * len(n)), *texts, pa.array(n, pa.int64()), pa.array(part, pa.int32())]
+        yield pa.RecordBatch.from_arrays(row, ["lang", "pair", "third", "n", "part"])
+
+
 def _subtrees(least: int):
-    """Phrases of two and three words in sorted suffixes: those of at least ``least``, or all of a split prefix.
+    """Phrases of two and three words in sorted suffixes: those of at least ``least``, and all pairs that are split.
 
-    ``place`` sorts by first word, then second, then third; its parts are hashes, so that a run
-    of equal ones may hold several phrases, which are told apart by their words.
+    ``place`` is a hash of language and pair, by which the rows are sorted; pairs that share it
+    are told apart by their words.
     """
 
-    def nodes(place, lang, phrase, n, split) -> pa.RecordBatch:
-        pair = place >> 20
-        starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        total = np.add.reduceat(n, starts)
+    def nodes(rows: pa.Table) -> pa.RecordBatch:
+        place, n, part = (rows.column(c).to_numpy() for c in ("place", "n", "part"))
+        starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         many = np.diff(np.append(starts, len(n)))
-        live = np.flatnonzero(np.repeat(total >= least, many) | split)
+        live = np.flatnonzero(np.repeat(np.add.reduceat(n, starts) >= least, many) | (part >= 0))
+        own = rows.take(pa.array(live))
         twos: Counter = Counter()
         threes: Counter = Counter()
         parted = set()
-        keys = zip(lang.take(pa.array(live)).to_pylist(), phrase.take(pa.array(live)).to_pylist(), n[live].tolist(), split[live].tolist())
-        for la, suffix, count, cut in keys:
-            words = suffix.split(" ")
-            two = (la, " ".join(words[:2]))
-            twos[two] += count
-            if cut:
-                parted.add(two)
-            if len(words) == DEPTH:
-                threes[la, suffix] += count
-        found = [(la, p, c, 2) for (la, p), c in twos.items() if c >= least or (la, p) in parted]
-        found += [(la, p, c, 3) for (la, p), c in threes.items() if c >= least]
+        for lang, pair, third, count, cut in zip(*(own.column(c).to_pylist() for c in ("lang", "pair", "third", "n", "part"))):
+            twos[lang, pair] += count
+            if cut >= 0:
+                parted.add((lang, pair))
+            if third:
+                threes[lang, f"{pair} {third}"] += count
+        found = [(lang, p, c, 2) for (lang, p), c in twos.items() if c >= least or (lang, p) in parted]
+        found += [(lang, p, c, 3) for (lang, p), c in threes.items() if c >= least]
         columns = list(zip(*found)) or [(), (), (), ()]
         types = [pa.string(), pa.string(), pa.int64(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "phrase", "n", "words"])
@@ -180,31 +194,25 @@ def _subtrees(least: int):
         for batch in batches:
             now = pa.Table.from_batches([batch])
             now = now if rest is None else pa.concat_tables([rest, now])
-            now = now.combine_chunks()
             place = now.column("place").to_numpy()
             # the last subtree may go on in the next batch
-            cut = int(np.searchsorted(place >> 20, place[-1] >> 20)) if len(place) else 0
+            cut = int(np.searchsorted(place, place[-1])) if len(place) else 0
             if cut:
-                own = now.slice(0, cut).combine_chunks()
-                yield nodes(place[:cut], *(own.column(c).chunk(0) for c in ("lang", "phrase")), own.column("n").to_numpy(), own.column("split").to_numpy())
+                yield nodes(now.slice(0, cut))
             rest = _summed(now.slice(cut))
         if rest is not None and len(rest):
-            own = rest.combine_chunks()
-            yield nodes(own.column("place").to_numpy(), *(own.column(c).chunk(0) for c in ("lang", "phrase")), own.column("n").to_numpy(), own.column("split").to_numpy())
+            yield nodes(rest)
 
     return scan
 
 
 def _summed(rows: pa.Table) -> pa.Table:
-    """Copies of a suffix as one row, in the same order."""
+    """Copies of a suffix as one row."""
     if len(rows) < ROWS:
         return rows
-    summed = rows.group_by(["place", "lang", "phrase", "split"]).aggregate([("n", "sum")]).rename_columns(["place", "lang", "phrase", "split", "n"])
-    return summed.select(rows.column_names).sort_by("place").cast(rows.schema)
-
-
-def _bits(value: Column, bits: int, shift: int) -> Column:
-    return F.shiftleft(value.bitwiseAND(F.lit((1 << bits) - 1).cast("long")), shift)
+    keys = ["place", "lang", "pair", "third", "part"]
+    summed = rows.group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+    return summed.select(rows.column_names).cast(rows.schema)
 
 
 def counted_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -223,19 +231,14 @@ def counted_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     bits[filled.column("at").to_numpy()] = filled.column("bits").to_numpy().astype(np.int64).view(np.uint64)
     places = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     groups = max(1, -(-places // GROUP_PLACES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # at most SPLIT_WORDS words can have more than this share of all places
-    heavy = max(GROUP_PLACES // 8, -(-places // SPLIT_WORDS))
-    split = tables.stored(words.where(F.col("n") > heavy).select("lang", F.col("phrase").alias("w1"), F.lit(True).alias("split")), "split")
-    rows = named.mapInArrow(_suffixes(spark.sparkContext.broadcast(bits), HELD), "lang string, phrase string, n long")
-    parts = F.split("phrase", " ", DEPTH)
-    rows = rows.select("lang", "phrase", "n", parts[0].alias("w1"), parts[1].alias("w2"), F.get(parts, 2).alias("w3"))
-    rows = rows.join(F.broadcast(split), ["lang", "w1"], "left").withColumn("split", F.coalesce("split", F.lit(False)))
-    one, two, three = F.xxhash64("lang", "w1"), F.xxhash64("lang", "w1", "w2"), F.xxhash64("w3")
-    group = F.when(F.col("split"), F.xxhash64(two, F.pmod(three, F.lit(SPLIT_PARTS)))).otherwise(one)
-    place = _bits(one, 23, 40).bitwiseOR(_bits(two, 20, 20)).bitwiseOR(_bits(three, 20, 0))
-    rows = rows.select(group.alias("grp"), place.alias("place"), "lang", "phrase", "n", "split")
+    # no more than SPLIT_WORDS words can have more than this share of all places
+    heavy: dict[str, list[bytes]] = {}
+    for row in words.where(F.col("n") > max(GROUP_PLACES // 8, -(-places // SPLIT_WORDS))).collect():
+        heavy.setdefault(row["lang"], []).append(row["phrase"].encode())
+    shared = spark.sparkContext.broadcast((bits, heavy))
+    rows = named.mapInArrow(_suffixes(shared, HELD), "lang string, pair string, third string, n long, part int")
     with tables.batch_rows(spark, ROWS):
-        grouped = rows.repartition(groups, "grp").drop("grp").sortWithinPartitions("place")
+        grouped = rows.repartition(groups, "lang", "pair", "part").withColumn("place", F.xxhash64("lang", "pair")).sortWithinPartitions("place")
         nodes = tables.stored(grouped.mapInArrow(_subtrees(least), "lang string, phrase string, n long, words int"), "nodes")
     return words, nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.first("words").alias("words")).where(F.col("n") >= least)
 
