@@ -31,6 +31,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """``wanted``, each with as many underscores before it as make it differ from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
