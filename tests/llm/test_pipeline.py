@@ -11,7 +11,7 @@ import corpus_pipeline
 from proofline.llm import secrets
 from proofline.llm.tokens import word_tokenizer
 from tests.llm.test_learned import leaks_by_force
-from tests.llm.test_similar import kept_by_force
+from tests.llm.test_similar import kept_of_all_pairs
 from tests.llm.test_spans import SECRETS, base_spans, weak_by_pairs
 from tests.llm.test_token_output import check_packing
 
@@ -52,7 +52,7 @@ def test_quality_drops_poor_documents(spark, stages):
 
 def test_one_of_each_group_of_copies_stays(stages):
     before, after = by_id(stages[1]), by_id(stages[2])
-    want = kept_by_force([(i, before[i]["text"]) for i in sorted(before)])
+    want = kept_of_all_pairs([(i, before[i]["text"]) for i in sorted(before)])
     assert sorted(after) == want
     assert len(want) < len(before)
     # of equal texts one stays
