@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proofline.functions.expressions import free_names
 from proofline.llm import tables
 
 BUCKETS = 1 << 16
@@ -394,7 +395,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, rank: int = RANK) -> DataFrame:
     """``docs`` without the rows in which an item of ``benchmark`` is found; all columns are kept."""
-    found = contaminated(docs, benchmark, cosine, rank).select(F.col("doc_id").alias("__doc_id"), F.col("key").alias("__key")).distinct()
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (key == F.col("__key"))
+    doc_id, key = free_names(docs, ["found_doc_id", "found_key"])
+    found = contaminated(docs, benchmark, cosine, rank).select("doc_id", "key").distinct().toDF(doc_id, key)
+    hashed = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc_id)) & (hashed == F.col(key))
     return docs.join(found, same, "left_anti")

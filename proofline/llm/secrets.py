@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proofline.functions.expressions import free_names
 from proofline.llm import tables
 
 # code points between the starts of two parts of one credential
@@ -136,9 +137,11 @@ def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     found = secrets(docs, scope).where(F.size("spans") > 0)
     # rows that share doc_id and text have the same spans
-    found = found.groupBy(F.col("doc_id").alias("__doc_id"), F.col("key").alias("__key")).agg(F.first("spans").alias("__spans"))
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (key == F.col("__key"))
+    found = found.groupBy("doc_id", "key").agg(F.first("spans").alias("spans"))
+    doc_id, key, spans = free_names(docs, ["found_doc_id", "found_key", "found_spans"])
+    found = found.toDF(doc_id, key, spans)
+    hashed = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc_id)) & (hashed == F.col(key))
     text = docs["text"].cast("string")
 
     def step(state: Column, span: Column) -> Column:
@@ -148,6 +151,6 @@ def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), made.alias("made"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("made"))
-    made = F.aggregate("__spans", start, step, lambda s: F.concat(s["made"], F.substr(text, s["at"] + 1, F.length(text))))
+    made = F.aggregate(spans, start, step, lambda s: F.concat(s["made"], F.substr(text, s["at"] + 1, F.length(text))))
     joined = docs.join(found, same, "left")
-    return joined.withColumn("text", F.when(F.col("__spans").isNotNull(), made).otherwise(text)).select(*docs.columns)
+    return joined.withColumn("text", F.when(F.col(spans).isNotNull(), made).otherwise(text)).select(*docs.columns)
