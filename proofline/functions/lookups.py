@@ -56,7 +56,10 @@ def join_unique(
     same place. ``big`` is read once more for its keys unless ``hot`` (see ``hot_keys``) is
     given; keep it as a table first if it is costly.
     """
-    hot = F.broadcast(hot_keys(big, keys, target) if hot is None else hot)
+    hot = hot_keys(big, keys, target) if hot is None else hot
+    if hot.isEmpty():
+        return big.join(lookup, list(keys), how)
+    hot = F.broadcast(hot)
     plain = [f.name for f in big.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     row = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c.replace('`', '``')}`") for c in plain])
     part = F.when(F.col(PARTS).isNotNull(), F.pmod(row, F.col(PARTS))).otherwise(F.lit(0))

@@ -541,6 +541,7 @@ VIOLATION_SHAPES = {
     "required": ("'missing fields'", "missing"),
     "canonical_diff": ("status", None),
     "missing_outputs": ("status", "name"),
+    "outputs": ("concat_ws(': ', status, detail)", "name"),
     "missing_sections": ("'missing section'", "section"),
 }
 

@@ -154,15 +154,22 @@ def label_encode(df: DataFrame, name: str) -> DataFrame:
 
 def scaled(df: DataFrame, cols: Sequence[str], method: str = "standard") -> dict[str, Column]:
     """Scaling expressions whose statistics are a one-row subquery over ``df``."""
-    parts = {"standard": (F.avg, F.stddev_samp), "minmax": (F.min, F.max)}[method]
-    stats = df.agg(
-        F.struct(*[f(X.present(df, c)).alias(f"s{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(parts)])
-    ).scalar()
+    made = scaled_by(df, [(c, method) for c in cols])
+    return {c: made[c, method] for c in cols}
+
+
+SCALINGS = {"standard": (F.avg, F.stddev_samp), "minmax": (F.min, F.max)}
+
+
+def scaled_by(df: DataFrame, wanted: Sequence[tuple[str, str]]) -> dict[tuple[str, str], Column]:
+    """Expressions for (column, method); the statistics of all of them are one scan of ``df``."""
+    named = [(f"s{i}_{j}", f, c) for i, (c, method) in enumerate(wanted) for j, f in enumerate(SCALINGS[method])]
+    stats = df.agg(F.struct(*[f(X.present(df, c)).alias(name) for name, f, c in named])).scalar()
     made = {}
-    for i, c in enumerate(cols):
+    for i, (c, method) in enumerate(wanted):
         base, other = stats[f"s{i}_0"], stats[f"s{i}_1"]
         width = other if method == "standard" else other - base
-        made[c] = F.try_divide((X.present(df, c) - base).cast("double"), width)
+        made[c, method] = F.try_divide((X.present(df, c) - base).cast("double"), width)
     return made
 
 
@@ -179,9 +186,29 @@ def features_only(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return df.select(*[col(k) for k in keys], df.colRegex(f"`^{PREFIX}.*`"))
 
 
+@dataclass(frozen=True)
+class Grouped:
+    """What a spec of aggregates per entity builds: columns named by ``aggs``.
+
+    As the spec says what it needs instead of doing it, all specs of a batch with the same keys
+    share one shuffle. An aggregate is a column or an SQL expression.
+    """
+
+    keys: tuple[str, ...]
+    aggs: Mapping[str, Column | str]
+
+
+@dataclass(frozen=True)
+class Scaled:
+    """What a spec of scaling builds: the spec's column from another one; a batch has one scan for all."""
+
+    column: str
+    method: str = "standard"
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
-    """One proposed feature. ``build`` gives its column, or the table with its columns."""
+    """One proposed feature. ``build`` gives its column, or the table with its columns, or says what to share."""
 
     name: str
     batch: str
@@ -189,42 +216,120 @@ class FeatureSpec:
     method: str
     description: str
     missing: str
-    build: Callable[[DataFrame], Column | DataFrame]
+    build: Callable[[DataFrame], Column | DataFrame] | Grouped | Scaled
 
 
 def build_features(df: DataFrame, specs: Sequence[FeatureSpec]) -> DataFrame:
     """Run the batches in their fixed order; a batch sees the columns of earlier ones.
 
-    Row-level features of a batch share one projection.
+    Row-level features of a batch share one projection, aggregates with the same keys one
+    shuffle, scaled columns one scan for their statistics. Every feature carries in its metadata
+    the columns of ``df`` that it comes from, through features of features, and is sensitive if
+    one of them is (D11). A spec must name sources that exist when its batch runs.
     """
     unknown = {s.batch for s in specs} - set(BATCHES)
     if unknown:
         raise ValueError(f"unknown batches: {sorted(unknown)}")
+    lineage = Lineage(df)
     for batch in BATCHES:
+        own = [s for s in specs if s.batch == batch]
+        roots = {s.name: lineage.roots(s) for s in own}
+        made: dict[str, list[str]] = {}
+        for keys, some in _by_keys(own).items():
+            aggs = {n: F.expr(a) if isinstance(a, str) else a for s in some for n, a in s.build.aggs.items()}
+            df = group_aggregates(df, keys, aggs)
+            made.update({s.name: [feat(n) for n in s.build.aggs] for s in some})
         columns: dict[str, Column] = {}
-        for spec in [s for s in specs if s.batch == batch]:
-            made = spec.build(df)
-            if isinstance(made, DataFrame):
-                new = [c for c in made.columns if c.startswith(PREFIX) and c not in df.columns]
-                df = _of_spec(made, new, spec)
+        for spec in own:
+            if isinstance(spec.build, (Grouped, Scaled)):
+                continue
+            built = spec.build(df)
+            if isinstance(built, DataFrame):
+                made[spec.name] = [c for c in built.columns if c.startswith(PREFIX) and c not in df.columns]
+                df = built
             else:
-                columns[feat(spec.name)] = made
+                columns[feat(spec.name)] = built
+                made[spec.name] = [feat(spec.name)]
+        scalings = {s.name: (s.build.column, s.build.method) for s in own if isinstance(s.build, Scaled)}
+        if scalings:
+            found = scaled_by(df, sorted(set(scalings.values())))
+            columns.update({feat(name): found[what] for name, what in scalings.items()})
+            made.update({name: [feat(name)] for name in scalings})
         if columns:
             df = df.withColumns(columns)
-            for spec in specs:
-                if feat(spec.name) in columns:
-                    df = _of_spec(df, [feat(spec.name)], spec)
-    return df
+        for spec in own:
+            lineage.add(spec, made[spec.name], roots[spec.name])
+    return lineage.attached(df)
 
 
-# key of the column metadata that names the spec of a feature
-SPEC = "feature_spec"
+def _by_keys(specs: Sequence[FeatureSpec]) -> dict[tuple[str, ...], list[FeatureSpec]]:
+    found: dict[tuple[str, ...], list[FeatureSpec]] = {}
+    for s in specs:
+        if isinstance(s.build, Grouped):
+            found.setdefault(s.build.keys, []).append(s)
+    return found
 
 
-def _of_spec(df: DataFrame, names: Sequence[str], spec: FeatureSpec) -> DataFrame:
-    for c in names:
-        df = df.withMetadata(c, {**df.schema[c].metadata, SPEC: spec.name})
-    return df
+# keys of the column metadata: the spec of a feature, and the columns it comes from
+SPEC, SOURCES = "feature_spec", "source_columns"
+
+
+class Lineage:
+    """Which columns of the first table each feature comes from, and which of them are sensitive.
+
+    A graph of column names, closed as it grows: the roots of a feature are those of its
+    sources, which are known when its batch runs. The names of a table are few; no row is read.
+    """
+
+    def __init__(self, df: DataFrame) -> None:
+        self.metadata = {f.name: f.metadata for f in df.schema}
+        # features that the table has already bring their sources along
+        self.known = {f.name: tuple(f.metadata.get(SOURCES, (f.name,))) for f in df.schema}
+        self.sensitive = {f.name: self._flagged(f) for f in df.schema if f.metadata.get("sensitive")}
+        self.of_spec: dict[str, list[str]] = {}
+
+    @staticmethod
+    def _flagged(f) -> tuple[str, ...]:
+        return tuple(f.metadata["from"].split(",")) if f.metadata.get("from") else (f.name,)
+
+    def _columns(self, source: str) -> list[str]:
+        if source in self.known:
+            return [source]
+        return self.of_spec.get(source, [])
+
+    def roots(self, spec: FeatureSpec) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """(columns of the first table, sensitive ones) that the spec's sources come from."""
+        lacking = [s for s in spec.sources if not self._columns(s)]
+        if lacking:
+            # a source that nobody knows could be a sensitive one
+            raise ValueError(f"feature {spec.name!r}: unknown sources {lacking}")
+        columns = [c for s in spec.sources for c in self._columns(s)]
+        roots = sorted({r for c in columns for r in self.known[c]})
+        return tuple(roots), tuple(sorted({r for c in columns for r in self.sensitive.get(c, ())}))
+
+    def add(self, spec: FeatureSpec, names: Sequence[str], roots: tuple[tuple[str, ...], tuple[str, ...]]) -> None:
+        self.of_spec[spec.name] = list(names)
+        for name in names:
+            self.known[name] = roots[0]
+            self.metadata[name] = {SPEC: spec.name, SOURCES: list(roots[0])}
+            if roots[1]:
+                self.sensitive[name] = roots[1]
+                self.metadata[name] |= {"sensitive": True, "from": ",".join(roots[1])}
+
+    def attached(self, df: DataFrame) -> DataFrame:
+        """``df`` with the metadata of all columns, that of the first table's too."""
+        kept = [col(f.name).alias(f.name, metadata={**f.metadata, **self.metadata.get(f.name, {})}) for f in df.schema]
+        return df.select(*kept)
+
+
+def feature_lineage(df: DataFrame) -> DataFrame:
+    """A row (feature, spec, source, sensitive) for each column that a feature comes from."""
+    rows = []
+    for f in df.schema:
+        flagged = (f.metadata.get("from") or "").split(",")
+        for source in f.metadata.get(SOURCES, ()) if f.name.startswith(PREFIX) else ():
+            rows.append((f.name, f.metadata.get(SPEC), source, source in flagged))
+    return df.sparkSession.createDataFrame(rows, "feature string, spec string, source string, sensitive boolean")
 
 
 # Fixed value: what the dictionary says of a feature that no spec describes.

@@ -8,6 +8,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Everything here is an ordinary Spark setting; a cluster may override any of them.
 DEFAULTS = {
@@ -59,12 +61,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read from there on.
+    """Write ``df`` to the shared folder as Parquet and read from there on.
 
-    The copy outlives lost executors, so partition numbers recorded in it stay valid.
+    The copy outlives lost executors, so partition numbers recorded in it stay valid, and
+    later reads take only the columns they need. Names are kept apart from the file, which
+    could not hold such as differ in case alone; the metadata of columns stay.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    path = scratch_path(df.sparkSession, "kept")
+    fields = df.schema.fields
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+    if any(_unwritable(f.dataType) for f in fields):
+        return _checkpointed(df)
+    df.toDF(*plain.names).write.parquet(path)
+    back = df.sparkSession.read.schema(plain).parquet(path)
+    return back.select(*[F.col(f"c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(fields)])
+
+
+def _unwritable(kind: T.DataType) -> bool:
+    """Types that Parquet has no form for."""
+    if isinstance(kind, T.ArrayType):
+        return _unwritable(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _unwritable(kind.keyType) or _unwritable(kind.valueType)
+    if isinstance(kind, T.StructType):
+        names = [f.name.lower() for f in kind]
+        return not names or len(set(names)) < len(names) or any(_unwritable(f.dataType) for f in kind)
+    return isinstance(kind, (T.NullType, T.CalendarIntervalType))
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)

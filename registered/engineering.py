@@ -166,7 +166,7 @@ def order_line_specs() -> list[E.FeatureSpec]:
     spec = E.FeatureSpec
     return [
         spec("net_scaled", "scaling", ("feat_net",), "min-max", "net price between 0 and 1", "NULL without spread",
-             lambda df: E.scaled(df, ["feat_net"], "minmax")["feat_net"]),
+             E.Scaled("feat_net", "minmax")),
         spec("tax_to_discount", "ratio", ("l_tax", "l_discount"), "ratio", "tax per discount", "NULL for a zero discount",
              lambda df: E.ratio_of("l_tax", "l_discount")),
         spec("net", "ratio", ("l_extendedprice", "l_discount"), "product", "price after discount", "none",
@@ -174,7 +174,7 @@ def order_line_specs() -> list[E.FeatureSpec]:
         spec("share_of_order", "ratio", ("l_quantity", "feat_pieces"), "ratio", "share of the order's pieces", "NULL for an empty order",
              lambda df: E.ratio_of("l_quantity", "feat_pieces")),
         spec("pieces", "aggregate", ("l_orderkey", "l_quantity"), "sum per order", "pieces in the order", "none",
-             lambda df: E.group_aggregates(df, ["l_orderkey"], {"pieces": F.sum("l_quantity")})),
+             E.Grouped(("l_orderkey",), {"pieces": "sum(l_quantity)"})),
         spec("ordered_year", "date-time", ("o_orderdate",), "year", "year of the order", "none",
              lambda df: F.year("o_orderdate")),
         spec("priority_length", "text", ("o_orderpriority",), "length", "length of the priority", "none",
