@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -168,26 +169,22 @@ def _subtrees(least: int):
     are told apart by their words.
     """
 
-    def nodes(rows: pa.Table) -> pa.RecordBatch:
+    def nodes(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         place, n, part = (rows.column(c).to_numpy() for c in ("place", "n", "part"))
         starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         many = np.diff(np.append(starts, len(n)))
         live = np.flatnonzero(np.repeat(np.add.reduceat(n, starts) >= least, many) | (part >= 0))
+        if not len(live):
+            return
         own = rows.take(pa.array(live))
-        twos: Counter = Counter()
-        threes: Counter = Counter()
-        parted = set()
-        for lang, pair, third, count, cut in zip(*(own.column(c).to_pylist() for c in ("lang", "pair", "third", "n", "part"))):
-            twos[lang, pair] += count
-            if cut >= 0:
-                parted.add((lang, pair))
-            if third:
-                threes[lang, f"{pair} {third}"] += count
-        found = [(lang, p, c, 2) for (lang, p), c in twos.items() if c >= least or (lang, p) in parted]
-        found += [(lang, p, c, 3) for (lang, p), c in threes.items() if c >= least]
-        columns = list(zip(*found)) or [(), (), (), ()]
-        types = [pa.string(), pa.string(), pa.int64(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "phrase", "n", "words"])
+        leaves = own.group_by(["lang", "pair", "third"]).aggregate([("n", "sum"), ("part", "max")])
+        pairs = leaves.group_by(["lang", "pair"]).aggregate([("n_sum", "sum"), ("part_max", "max")])
+        pairs = pairs.filter((pc.field("n_sum_sum") >= least) | (pc.field("part_max_max") >= 0))
+        leaves = leaves.filter((pc.field("n_sum") >= least) & (pc.field("third") != ""))
+        phrases = pc.binary_join_element_wise(leaves.column("pair"), leaves.column("third"), " ")
+        for words, found, phrase, count in ((2, pairs, pairs.column("pair"), "n_sum_sum"), (3, leaves, phrases, "n_sum")):
+            table = pa.table([found.column("lang"), phrase, found.column(count), pa.array(np.full(len(found), words, np.int32))], ["lang", "phrase", "n", "words"])
+            yield from table.combine_chunks().to_batches()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -198,10 +195,10 @@ def _subtrees(least: int):
             # the last subtree may go on in the next batch
             cut = int(np.searchsorted(place, place[-1])) if len(place) else 0
             if cut:
-                yield nodes(now.slice(0, cut))
+                yield from nodes(now.slice(0, cut))
             rest = _summed(now.slice(cut))
         if rest is not None and len(rest):
-            yield nodes(rest)
+            yield from nodes(rest)
 
     return scan
 
