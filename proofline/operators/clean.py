@@ -94,15 +94,29 @@ def fill_values(df: DataFrame, strategies: Mapping[str, object]) -> dict[str, Co
         found = exact_quantiles(df, by_kind["median"], [0.5])
         fills.update(_per_column(found, by_kind["median"]))
     if by_kind["mode"]:
-        for c in by_kind["mode"]:
-            # one column at a time, so that ties are broken in the order of its own type
-            counts = df.select(X.present(df, c).alias("value")).where(F.col("value").isNotNull())
-            counts = counts.groupBy("value").agg(F.count("*").alias("n"))
-            found = counts.agg(F.min_by(F.struct("value"), F.struct((-F.col("n")).alias("n"), "value")).alias("v"))
-            fills[c] = found.scalar()["value"]
+        fills.update(_modes(df, by_kind["mode"]))
     return {c: fills[c].cast(X.dtype(df, c)) for c in strategies}
 
 
+def _modes(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """The least of the most frequent values of each column, all from one scan and one shuffle.
+
+    Every cell becomes a row with a field of its own type for each column, of which only its
+    own is filled: such rows can be counted together, and ordered by all fields they are in the
+    order of the type of the one that is there.
+    """
+    fields = [f"v{i}" for i in range(len(cols))]
+    cells = []
+    for i, c in enumerate(cols):
+        values = [X.present(df, c) if f == fields[i] else F.lit(None).cast(X.dtype(df, cols[j])) for j, f in enumerate(fields)]
+        cells.append(F.struct(F.lit(i).alias("i"), *[v.alias(f) for v, f in zip(values, fields)]))
+    rows = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(" OR ".join(f"{f} IS NOT NULL" for f in fields))
+    counts = rows.groupBy("i", *fields).agg(F.count("*").alias("n"))
+    best = counts.groupBy("i").agg(F.min_by(F.struct(*fields), F.struct((-F.col("n")).alias("n"), *fields)).alias("best"))
+    row = best.agg(F.struct(*[F.max(F.when(F.col("i") == i, F.col(f"best.{f}"))).alias(f) for i, f in enumerate(fields)])).scalar()
+    return {c: row[f] for c, f in zip(cols, fields)}
+
+
 def _per_column(found: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
     picked = [F.max(F.when(F.col("column_name") == c, F.col("value"))).alias(f"v{i}") for i, c in enumerate(cols)]
     row = found.agg(F.struct(*picked)).scalar()

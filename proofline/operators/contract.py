@@ -287,8 +287,6 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
         entries.append(entry("size", value, outside, message, of_table=True))
     found = rows_of(per_name, entries)
 
-    keys = [n if contract.case_sensitive else n.lower() for n in header]
-    repeated = [header[keys.index(k)] for k in dict.fromkeys(keys) if keys.count(k) > 1]
     lacking = [n for n in contract.named() if n not in at]
     if lacking:
         rows = [
@@ -298,21 +296,14 @@ def run_contract(df: DataFrame, contract: Contract = Contract(), header: Sequenc
         found = found.unionByName(
             df.sparkSession.createDataFrame(rows, "seq int, check string, column_name string, n bigint, severity string, message string")
         )
-    if repeated:
-        named = X.quoted_list(F.array(*[F.lit(n) for n in repeated]))
-        duplicates = df.sparkSession.range(1).select(
-            *[
-                c.alias(name)
-                for name, c in entry(
-                    "duplicate_columns",
-                    F.lit(len(repeated)),
-                    F.lit(True),
-                    F.concat(F.lit(DUPLICATE_MESSAGE), named),
-                    of_table=True,
-                ).items()
-            ]
-        )
-        found = found.unionByName(duplicates)
+    repeated = check_duplicate_columns(df.sparkSession, header, contract.case_sensitive)
+    # one row per repeated name, in the order of the header
+    listed = F.array_sort(F.collect_list(F.struct("first_position", "column_name")))
+    repeated = repeated.agg(F.count("*").alias("n"), F.transform(listed, lambda r: r["column_name"]).alias("names"))
+    told = F.concat(F.lit(DUPLICATE_MESSAGE), X.quoted_list(F.col("names")))
+    found = found.unionByName(
+        repeated.select(*[c.alias(name) for name, c in entry("duplicate_columns", F.col("n"), F.col("n") > 0, told, of_table=True).items()])
+    )
     categories = [c for n in contract.categories for c in at.get(n, [])]
     if categories:
         names = F.create_map(*[F.lit(part) for n in contract.categories for c in at.get(n, []) for part in (c, n)])

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
-from proofline.functions.expressions import col
+from proofline.functions.expressions import col, free_names
 from proofline.functions.longform import rows_of
 from proofline.functions.ordered import running_totals
 from proofline.session import materialize
@@ -59,6 +60,72 @@ def fit_logit(
     return Logit(tuple(cols), tuple(float(w) for w in fitted.coefficients), float(fitted.intercept))
 
 
+def fit_newton(train: DataFrame, cols: Sequence[str], label: str, steps: int = 8, reg: float = 1e-3) -> Logit:
+    """F2 by Newton's method, for a handful of features: every step is one aggregate of the rows.
+
+    A step gathers the gradient and the matrix of second derivatives, (features + 1)^2 / 2 means,
+    and solves them on the driver. The penalty ``reg`` / 2 on the squared weights, not on the
+    intercept, keeps the matrix away from zero where the classes can be told apart entirely.
+    The number of steps is fixed, so a fit is a plain formula over the rows. Keep ``train`` as a
+    table: it is read once a step. Fill missing values first; a row with one is left out.
+    """
+    size = len(cols) + 1
+    x = [F.lit(1.0), *[col(c).cast("double") for c in cols]]
+    weights = [0.0] * size
+    for _ in range(steps):
+        z = X.added([F.lit(w) * v for w, v in zip(weights, x)])
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        miss, curve = col(label).cast("double") - p, p * (F.lit(1.0) - p)
+        row = train.agg(
+            *[F.avg(miss * x[i]).alias(f"g{i}") for i in range(size)],
+            *[F.avg(curve * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(size) for j in range(i, size)],
+        ).first()
+        if row["g0"] is None:
+            raise ValueError("no rows to fit")
+        penalty = [0.0] + [reg] * len(cols)
+        gradient = [row[f"g{i}"] - penalty[i] * weights[i] for i in range(size)]
+        matrix = [[row[f"h{min(i, j)}_{max(i, j)}"] + (penalty[i] if i == j else 0.0) for j in range(size)] for i in range(size)]
+        weights = [w + s for w, s in zip(weights, _solved(matrix, gradient))]
+    return Logit(tuple(cols), tuple(weights[1:]), weights[0])
+
+
+def _solved(matrix: list[list[float]], right: list[float]) -> list[float]:
+    """The solution of a small positive definite system, by elimination in the given order."""
+    size = len(right)
+    matrix, right = [list(row) for row in matrix], list(right)
+    for c in range(size):
+        for r in range(c + 1, size):
+            factor = matrix[r][c] / matrix[c][c]
+            matrix[r] = [a - factor * b for a, b in zip(matrix[r], matrix[c])]
+            right[r] -= factor * right[c]
+    found = [0.0] * size
+    for r in reversed(range(size)):
+        found[r] = (right[r] - sum(matrix[r][j] * found[j] for j in range(r + 1, size))) / matrix[r][r]
+    return found
+
+
+def fit_sparse_logit(
+    train: DataFrame, cols: Sequence[str], label: str, max_iter: int = 50, reg: float = 0.0
+) -> Callable[[DataFrame, str], DataFrame]:
+    """F2 on numbers and sparse vectors alike; returns what adds a score column to a table.
+
+    Weights of a vector with very many places stay in the model, where ``Logit`` would
+    spell out a column expression for each.
+    """
+    assembler = VectorAssembler(inputCols=list(cols), outputCol="features")
+    rows = assembler.transform(train.select(*[col(c) for c in cols], col(label).cast("double").alias(label)))
+    fitted = LogisticRegression(labelCol=label, maxIter=max_iter, regParam=reg, aggregationDepth=3).fit(rows.select("features", label))
+
+    def score(df: DataFrame, name: str = "score") -> DataFrame:
+        features, raw, probability, prediction = free_names(df, ["features", "raw", "probability", "prediction"])
+        ready = VectorAssembler(inputCols=list(cols), outputCol=features).transform(df)
+        model = fitted.copy().setFeaturesCol(features).setRawPredictionCol(raw).setProbabilityCol(probability).setPredictionCol(prediction)
+        scored = model.transform(ready).withColumn(name, vector_to_array(probability)[1])
+        return scored.drop(features, raw, probability, prediction)
+
+    return score
+
+
 def auc_table(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
     """Area under the curve per score column, ties counted as half.
 

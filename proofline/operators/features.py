@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proofline.functions import expressions as X
-from proofline.functions.expressions import col
+from proofline.functions.expressions import col, free_names
 from proofline.functions.longform import rows_of
-from proofline.functions.lookups import fits_broadcast, hot_keys, join_unique
+from proofline.functions.lookups import fits_broadcast, hot_keys, join_unique, lookup_join
 from proofline.functions.ordered import row_numbers
 from proofline.operators.evaluate import auc_table
 from proofline.session import materialize
@@ -102,22 +103,32 @@ def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.withColumns(made)
 
 
-def one_hot_levels(df: DataFrame, name: str) -> list:
-    """The levels that ``one_hot`` makes columns of, in order: what a training table fits."""
+# columns that one-hot encoding may add to a table; beyond them it adds one sparse vector
+LEVEL_COLUMNS = 1000
+
+
+def one_hot_levels(df: DataFrame, name: str) -> list | None:
+    """The levels that ``one_hot`` makes columns of, in order: what a training table fits.
+
+    None if there are more than ``LEVEL_COLUMNS``; no more than these come to the driver.
+    """
     found = df.select(X.present(df, name).alias("v")).where(F.col("v").isNotNull()).distinct()
-    return sorted(r["v"] for r in found.collect())
+    levels = found.limit(LEVEL_COLUMNS + 1).collect()
+    return None if len(levels) > LEVEL_COLUMNS else sorted(r["v"] for r in levels)
 
 
 def one_hot(df: DataFrame, name: str, levels: Sequence | None = None, fit_on: DataFrame | None = None) -> DataFrame:
     """A 0/1 column per level; values outside the levels have 0 in all of them.
 
     ``levels`` or ``fit_on`` fix the levels, so that train and test side get the same
-    columns; else they are those of ``df``. A table has a column for each, so a column with
-    very many levels is better served by ``one_hot_long``. Levels that differ in case alone
-    get names with a number behind them.
+    columns; else they are those of ``df``. With more levels than a table can have columns
+    the same zeros and ones are one sparse vector (``one_hot_sparse``). Levels that differ in case
+    alone get names with a number behind them.
     """
     if levels is None:
         levels = one_hot_levels(df if fit_on is None else fit_on, name)
+    if levels is None:
+        return one_hot_sparse(df, name, fit_on)
     names: dict[str, object] = {}
     taken = {c.lower() for c in df.columns}
     for v in levels:
@@ -131,9 +142,39 @@ def one_hot(df: DataFrame, name: str, levels: Sequence | None = None, fit_on: Da
     return df.withColumns({c: F.coalesce(col(name) == v, F.lit(False)).cast("int") for c, v in names.items()})
 
 
-def one_hot_long(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """E7 for any number of levels: the ones of the matrix, a row (keys, level) for each; no driver, no shuffle."""
-    return df.select(*[col(k) for k in keys], X.present(df, name).alias("level")).where(F.col("level").isNotNull())
+def level_index(df: DataFrame, name: str) -> DataFrame:
+    """(level, position): the levels of a column, numbered from 0 in their order, as a table of any size."""
+    levels = df.select(X.present(df, name).alias("level")).where(F.col("level").isNotNull()).distinct()
+    return materialize(row_numbers(levels, ["level"], "position"))
+
+
+def one_hot_long(df: DataFrame, keys: Sequence[str], name: str, fit_on: DataFrame | None = None) -> DataFrame:
+    """E7 for any number of levels: the ones of the matrix, a row (keys, level) for each; no driver, no shuffle.
+
+    With ``fit_on`` the rows also have the position of the level among those of that table, and
+    values that are no level of it have no row, as they have no one in any column.
+    """
+    ones = df.select(*[col(k) for k in keys], X.present(df, name).alias("level")).where(F.col("level").isNotNull())
+    return ones if fit_on is None else lookup_join(ones, level_index(fit_on, name), ["level"], "inner").select(*keys, "level", "position")
+
+
+def one_hot_sparse(df: DataFrame, name: str, fit_on: DataFrame | None = None) -> DataFrame:
+    """E7 as one sparse vector per row, ``feat_<name>_onehot``: its place in ``level_index`` is 1.
+
+    Values that are no level, and missing ones, have a vector of zeros. The levels stay a table,
+    which is broadcast if it is small and joined with hot values spread otherwise.
+    """
+    index = level_index(df if fit_on is None else fit_on, name)
+    n_levels = index.count()
+    place, vector = free_names(df, [f"{name}_position", feat(f"{name}_onehot")])
+    index = index.select(F.col("level").alias(place + "_level"), F.col("position").cast("double").alias(place))
+    keyed = df.withColumn(place + "_level", X.present(df, name))
+    # a place beyond the levels is one that the encoder keeps apart, and its vector is empty
+    found = lookup_join(keyed, index, [place + "_level"]).withColumn(place, F.coalesce(place, F.lit(float(max(n_levels, 1)))))
+    encoder = OneHotEncoder(inputCols=[place], outputCols=[vector], handleInvalid="keep", dropLast=True)
+    # the encoder learns nothing but the number of levels
+    learnt = df.sparkSession.range(1).select(F.lit(float(max(n_levels, 1) - 1)).alias(place))
+    return encoder.fit(learnt).transform(found).select(*[col(c) for c in df.columns], vector)
 
 
 def label_encode(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proofline.operators import contract as C
+from proofline.sources.raw_csv import read_raw_csv
 from registered.base import (
     CUSTOMER_DIRT,
     DIRTY_CUSTOMERS_SQL,
@@ -20,6 +21,7 @@ from registered.base import (
     table,
     union_all,
 )
+from registered.handoffs import written_lines
 from registered.profiling import FORMAT_SQL
 
 # a hand-off whose header repeats a name: orders with the key of their customer
@@ -42,8 +44,11 @@ def handoff_rows(spark, sf):
     f"WITH {HANDOFF_SQL} SELECT 'customer' AS column_name, CAST(2 AS BIGINT) AS n_columns, '1,3' AS positions, count(c1) + count(c3) AS n_filled FROM h",
 )
 def duplicate_columns(spark, sf):
-    found = C.check_duplicate_columns(spark, HANDOFF_HEADER)
-    rows = handoff_rows(spark, sf)
+    # the header is that of a file, in which names may repeat
+    line = "concat_ws(',', " + ", ".join(f"coalesce(CAST(c{i} AS STRING), '')" for i in range(len(HANDOFF_HEADER))) + ") AS line"
+    path = written_lines(handoff_rows(spark, sf).selectExpr(line), ",".join(HANDOFF_HEADER), "repeated-names")
+    rows, header = read_raw_csv(spark, path)
+    found = C.check_duplicate_columns(spark, header)
     filled = rows.agg(F.sum(F.expr("CAST(c1 IS NOT NULL AS BIGINT) + CAST(c3 IS NOT NULL AS BIGINT)"))).scalar()
     return found.select("column_name", "n_columns", "positions", filled.alias("n_filled"))
 

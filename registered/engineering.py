@@ -112,6 +112,23 @@ def one_hot(spark, sf):
     return E.features_only(E.one_hot(table(spark, sf, "orders"), "o_orderstatus"), ["o_orderkey"])
 
 
+@query(
+    "one_hot_of_many_levels",
+    "WITH i AS (SELECT o_custkey AS level, dense_rank() OVER (ORDER BY o_custkey) - 1 AS position FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 2 = 0)) "
+    "SELECT o_orderkey, level, position, (SELECT count(*) FROM i) AS size, 1.0::DOUBLE AS value FROM orders JOIN i ON level = o_custkey "
+    "UNION ALL SELECT o_orderkey, NULL, NULL, (SELECT count(*) FROM i), NULL FROM orders WHERE o_custkey NOT IN (SELECT level FROM i)",
+)
+def one_hot_of_many_levels(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    train = orders.where("o_orderkey % 2 = 0")
+    vectors = E.one_hot_sparse(orders, "o_custkey", train).select("o_orderkey", F.to_json(F.struct("feat_o_custkey_onehot")).alias("v"))
+    said = F.from_json("v", "feat_o_custkey_onehot struct<size: long, indices: array<long>, values: array<double>>")["feat_o_custkey_onehot"]
+    vectors = vectors.select("o_orderkey", said.alias("v")).select("o_orderkey", F.get("v.indices", 0).alias("position"), "v.size", F.get("v.values", 0).alias("value"))
+    # the long form tells the level of each place
+    ones = E.one_hot_long(orders, ["o_orderkey"], "o_custkey", train)
+    return vectors.join(ones, ["o_orderkey", "position"], "left").select("o_orderkey", "level", "position", "size", "value")
+
+
 @query(
     "label_codes",
     "SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS feat_p_brand_code FROM part",
