@@ -16,7 +16,7 @@ import public_tokenizers
 
 VOCABULARY = "byte_bpe_50k.json"
 # words that a worker keeps before it begins anew, and the longest of them
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 KEPT_WORD_CHARS = 64
 
 # The split of byte-level vocabularies for texts of plain signs and Latin letters, where
