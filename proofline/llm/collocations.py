@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,9 +85,8 @@ def _words(most: int):
         held = _Counts(most)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                counts = held.of(lang)
-                for words in pieces_of(text):
-                    counts.update(words)
+                # single words need no pieces: where these end, words end as well
+                held.of(lang).update(text.translate(SIGNS).split())
                 if held.full():
                     yield from _counted(held)
         yield from _counted(held)
@@ -141,10 +141,8 @@ def _suffixes(shared, most: int):
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 may, counts = frequent.of(lang), held.of(lang)
-                for words in pieces_of(text):
-                    for run in _runs(words, may):
-                        if len(run) > 1:
-                            counts.update(map(b" ".join, zip(run, run[1:], [*run[2:], b""])))
+                runs = (run for words in pieces_of(text) for run in _runs(words, may) if len(run) > 1)
+                counts.update(chain.from_iterable(map(b" ".join, zip(run, run[1:], [*run[2:], b""])) for run in runs))
                 if held.full():
                     yield from _parted(held, pairs)
         yield from _parted(held, pairs)
