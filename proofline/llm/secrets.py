@@ -15,6 +15,8 @@ documents that hold complementary ones are shuffled, without their texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,29 @@ WEAK = {
     "weak_endpoint": (r"\b[a-z][a-z0-9+.-]*://[A-Za-z0-9._:-]+", 0, 8),
 }
 KINDS = [*BASE, *WEAK]
-_SPAN = "struct<start: int, rank: int, kind: string, end: int>"
+_SPANS = "array<struct<start: int, rank: int, kind: string, end: int>>"
+# code points of the blocks that a text is cut into before parts of it are taken
+BLOCK = 1024
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``values`` combined along the array: place i holds the values 0 to i taken together.
+
+    Each round reaches twice as far back as the one before, so the work is n log n; an array
+    that grows by one item a step would be copied in every step.
+    """
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    reaches = F.transform(F.sequence(F.lit(0), rounds), lambda k: F.pow(F.lit(2), k).cast("int"))
+
+    def longer(state: Column, reach: Column) -> Column:
+        return F.transform(state, lambda v, i: F.when(i >= reach, combine(v, F.get(state, i - reach))).otherwise(v))
+
+    return F.aggregate(reaches, values, longer)
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -48,29 +72,54 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    counted = found if group == 0 else F.transform(found, lambda m: F.regexp_extract(m, pattern, group))
-    parts = F.arrays_zip(F.transform(gaps, F.length).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(counted, F.length).alias("counted"))
-    start = F.lit(None).cast(_SPAN)
-    empty = F.struct(F.lit(0).alias("at"), F.filter(F.array(start), lambda s: F.lit(False)).alias("spans"))
-
-    def step(state: Column, part: Column) -> Column:
-        begin = state["at"] + part["gap"]
-        end = begin + F.coalesce(part["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
+
+    def counted(match: Column) -> Column:
+        value = F.regexp_extract(match, pattern, group) if group else match
+        # a weak secret is told by its looks
+        return F.when(_random_looking(value), F.length(value)).otherwise(0) if kind == "weak_secret" else F.length(value)
+
+    def placed(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda p: p["gap"] + F.coalesce(p["size"], F.lit(0))), lambda a, b: a + b)
+        spans = F.zip_with(
+            parts,
+            ends,
+            lambda p, end: F.struct(
+                (end - p["size"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), p["counted"].alias("counted")
+            ),
+        )
         # the last gap has no match behind it
-        kept = F.when(part["counted"] >= least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+        long_enough = F.filter(spans, lambda s: F.coalesce(s["counted"] >= least, F.lit(False)))
+        return F.transform(long_enough, lambda s: s.dropFields("counted"))
 
-    none = F.filter(F.array(start), lambda s: F.lit(False))
-    return F.when(F.size(found) > 0, F.aggregate(parts, empty, step, lambda s: s["spans"])).otherwise(none)
+    parts = F.arrays_zip(F.transform(gaps, F.length).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(found, counted).alias("counted"))
+    none = F.array().cast(_SPANS)
+    return F.when(F.size(found) > 0, _let(parts, placed).cast(_SPANS)).otherwise(none)
 
 
-def _random_looking(text: Column, spans: Column) -> Column:
-    """Tokens that mix digits with letters of either case."""
-    value = lambda s: F.substr(text, s["start"] + 1, s["end"] - s["start"])
-    return F.filter(
-        spans, lambda s: value(s).rlike("[0-9]") & value(s).rlike("[A-Z]") & value(s).rlike("[a-z]")
-    )
+def _random_looking(value: Column) -> Column:
+    """Whether a token mixes digits with letters of either case."""
+    return value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
+
+
+def _clear_of(weak: Column, base: Column) -> Column:
+    """The spans of ``weak`` that share no place with one of ``base``.
+
+    Both are sorted together, base spans by their start and weak ones by their end, so the
+    base spans before a weak one are those that start ahead of its end; it is clear if
+    none of them reaches beyond its start.
+    """
+    # what ends at a start comes before it
+    ends = F.transform(weak, lambda w: F.struct(w["end"].alias("at"), F.lit(0).alias("side"), F.lit(0).alias("reach"), w.alias("span")))
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("side"), b["end"].alias("reach"), b.alias("span")))
+
+    def swept(events: Column) -> Column:
+        reach = _running(F.transform(events, lambda e: e["reach"]), F.greatest)
+        with_reach = F.zip_with(events, reach, lambda e, r: F.struct(e["side"].alias("side"), e["span"].alias("span"), r.alias("reach")))
+        clear = F.filter(with_reach, lambda e: (e["side"] == 0) & (e["reach"] <= e["span"]["start"]))
+        return F.transform(clear, lambda e: e["span"])
+
+    clear = _let(F.sort_array(F.concat(ends, starts)), swept)
+    return F.when((F.size(weak) > 0) & (F.size(base) > 0), clear).otherwise(weak)
 
 
 def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
@@ -101,21 +150,11 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     named = tables.texts(docs)
     text = F.col("text")
     base = F.concat(*[_spans(text, kind, *rule) for kind, rule in BASE.items()])
-    weak = F.concat(
-        *[
-            _random_looking(text, _spans(text, kind, *rule)) if kind == "weak_secret" else _spans(text, kind, *rule)
-            for kind, rule in WEAK.items()
-        ]
-    )
+    weak = F.concat(*[_spans(text, kind, *rule) for kind, rule in WEAK.items()])
     scanned = named.select("doc_id", F.xxhash64("text").alias("key"), base.alias("base"), weak.alias("weak"))
     # what a stronger span covers already is no candidate
-    fresh = F.filter(
-        "weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    )
-    scanned = tables.stored(
-        scanned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "base", F.when(F.size("weak") > 0, fresh).otherwise(F.col("weak")).alias("weak")),
-        "secrets",
-    )
+    fresh = _clear_of(F.col("weak"), F.col("base")).alias("weak")
+    scanned = tables.stored(scanned.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "base", fresh), "secrets")
     parts = scanned.where(F.size("weak") > 0).select("row", F.inline(F.concat("base", "weak")))
     identifiers = parts.where(F.col("kind").isin("access", "weak_id"))
     keys = parts.where(F.col("kind").isin("assign", "hex", "weak_secret"))
@@ -144,13 +183,28 @@ def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc_id)) & (hashed == F.col(key))
     text = docs["text"].cast("string")
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substr(text, state["at"] + 1, span["start"] - state["at"])
-        fresh = F.concat(state["made"], gap, F.lit("["), span["kind"], F.lit("]"))
-        made = F.when(span["start"] >= state["at"], fresh).otherwise(state["made"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), made.alias("made"))
+    # a part of a text is taken from its blocks, as finding a place in a text takes time with the place
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def made_of(blocks: Column) -> Column:
+        def part(begin: Column, end: Column) -> Column:
+            first, last = F.floor(begin / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+            own = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            return F.when(end > begin, F.substr(own, begin % BLOCK + 1, end - begin)).otherwise("")
+
+        reach = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+        def pieces(reach: Column) -> Column:
+            def piece(span: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(reach, i - 1), F.lit(0))
+                fresh = F.concat(part(before, span["start"]), F.lit("["), span["kind"], F.lit("]"))
+                return F.when(span["start"] >= before, fresh).otherwise("")
+
+            rest = part(F.element_at(reach, -1), F.length(text))
+            return F.concat(F.array_join(F.transform(F.col(spans), piece), ""), rest)
+
+        return _let(reach, pieces)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("made"))
-    made = F.aggregate(spans, start, step, lambda s: F.concat(s["made"], F.substr(text, s["at"] + 1, F.length(text))))
+    made = _let(blocks, made_of)
     joined = docs.join(found, same, "left")
     return joined.withColumn("text", F.when(F.col(spans).isNotNull(), made).otherwise(text)).select(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -154,3 +155,38 @@ def test_secrets_of_odd_rows(docs_of):
     got = secrets.secrets(docs_of(rows)).collect()
     assert sorted((r["doc_id"] or 0, len(r["spans"])) for r in got) == [(0, 1), (1, 0), (2, 0), (4, 1), (4, 1), (5, 3000)]
     assert secrets.secrets(docs_of(rows).where("false")).count() == 0
+
+
+def redacted_by_force(text, spans):
+    """``[kind]`` in place of spans, which are taken by start; those that overlap become one."""
+    made, at = [], 0
+    for kind, a, b in spans:
+        if a >= at:
+            made.append(text[at:a] + f"[{kind}]")
+        at = max(at, b)
+    return "".join(made) + text[at:]
+
+
+def test_redaction_equals_cutting_the_text(docs_of, monkeypatch):
+    monkeypatch.setattr(secrets, "BLOCK", 7)
+    draw = random.Random(11)
+    bits = ["user: bob1", "Zx9" * 8, "https://db.example:5432", "password=" + "deadbeef" * 4, "AKIA" + "Q" * 14, "é😀\n", "api_key: 'AKIA" + "7" * 16 + "'"]
+    docs = docs_of([(i, " ".join(draw.choice(bits) for _ in range(draw.randint(0, 20)))) for i in range(150)])
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.secrets(docs).collect()}
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert got == {i: redacted_by_force(texts[i], spans[i]) for i in texts}
+    # spans that overlap are among them
+    assert any(b > c for own in spans.values() for (_, _, b), (_, c, _) in zip(own, own[1:]))
+
+
+def test_a_text_of_very_many_secrets(docs_of):
+    # a text of 100,000 assignments and as many weak parts took time with the square of both
+    text = "password: é" + "token=abcdefgh1 user: bob1 é\n" * 100_000
+    started = time.monotonic()
+    (row,) = secrets.secrets(docs_of([(1, text)])).collect()
+    assert [s["kind"] for s in row["spans"]].count("assign") == 100_000 and len(row["spans"]) == 200_000
+    assert [text[s["start"] : s["end"]] for s in row["spans"][-2:]] == ["token=abcdefgh1", "user: bob1"]
+    (row,) = secrets.redacted(docs_of([(1, text)])).collect()
+    assert row["text"] == "password: é" + "[assign] [weak_id] é\n" * 100_000
+    assert time.monotonic() - started < 120
