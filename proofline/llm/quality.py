@@ -32,6 +32,11 @@ EPOCHS = 40
 THRESHOLD = 0.3
 # words whose vectors are looked up at once
 CHUNK = 1 << 16
+# words whose neighbours are summed at once
+CONTEXT_CHUNK = 1 << 18
+# the farthest words that are bound as pairs, and the pools of a document
+PAIRS = 2
+POOLS = 3 + PAIRS
 # every sign that is no letter counts as part of a word of its own
 WORD = r"\p{L}+|[^\s\p{L}]+"
 
@@ -62,15 +67,21 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, ends = _lists(batch.column("words"))
         document = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         total[:, SIZE] += np.bincount(words, minlength=ROWS)
-        at, weights = [], []
-        for away in range(1, NEAR + 1):
-            inside = document[away:] == document[:-away]
-            left, right = words[:-away][inside], words[away:][inside]
-            for a, b in ((left, right), (right, left)):
-                at.append((a[:, None] * SIZE + places[b]).ravel())
-                weights.append(signs[b].ravel())
-        sums = np.bincount(np.concatenate(at), np.concatenate(weights), minlength=ROWS * SIZE)
-        total[:, :SIZE] += np.rint(sums).astype(np.int64).reshape(ROWS, SIZE)
+        # a batch may hold very long texts
+        for begin in range(0, len(words), CONTEXT_CHUNK):
+            at, weights = [], []
+            for away in range(1, NEAR + 1):
+                end = min(begin + CONTEXT_CHUNK, len(words) - away)
+                if end <= begin:
+                    continue
+                inside = document[begin + away : end + away] == document[begin:end]
+                left, right = words[begin:end][inside], words[begin + away : end + away][inside]
+                for a, b in ((left, right), (right, left)):
+                    at.append((a[:, None] * SIZE + places[b]).ravel())
+                    weights.append(signs[b].ravel())
+            if at:
+                sums = np.bincount(np.concatenate(at), np.concatenate(weights), minlength=ROWS * SIZE)
+                total[:, :SIZE] += np.rint(sums).astype(np.int64).reshape(ROWS, SIZE)
     some = np.flatnonzero(total[:, SIZE])
     yield _packed(some, total[some])
 
@@ -105,29 +116,34 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(words: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean and mean square of the word vectors of each document, and four shares of its words."""
+    """The word vectors of each document in ``POOLS`` pools of SIZE numbers, and nothing else.
+
+    The pools are the means of the vectors, of their squares and of the vectors of word
+    pairs, and the energy of the sum. A pair is bound by the product of its two vectors, for words that follow each
+    other and for those with one between, so words that come again show as squares. The energy is the square
+    of the sum over the number of words: it grows with words that point one way, and stays where
+    they differ. An empty document has zeros.
+    """
     rows, ends = _lists(words)
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    sums = np.zeros((len(ends), 2 * SIZE))
+    sums = np.zeros((POOLS - 1, len(ends), SIZE))
     for at in range(0, len(rows), CHUNK):
         until = min(at + CHUNK, len(rows))
         some = np.flatnonzero((ends > at) & (starts < until) & (ends > starts))
-        found = vectors[rows[at:until]]
+        found = vectors[rows[at : until + PAIRS]]
+        own = found[: until - at]
         cuts = np.maximum(starts[some], at) - at
-        sums[some, :SIZE] += np.add.reduceat(found, cuts, axis=0, dtype=np.float64)
-        sums[some, SIZE:] += np.add.reduceat(found**2, cuts, axis=0, dtype=np.float64)
-    sizes = ends - starts
-    shares = np.zeros((len(ends), 4))
-    for i in range(len(ends)):
-        own = rows[starts[i] : ends[i]]
-        if len(own):
-            shares[i] = (
-                math.log1p(len(own)),
-                len(np.unique(own)) / len(own),
-                (own[1:] == own[:-1]).mean() if len(own) > 1 else 0.0,
-                (own[2:] == own[:-2]).mean() if len(own) > 2 else 0.0,
-            )
-    return np.concatenate([sums / np.maximum(sizes, 1)[:, None], shares], axis=1)
+        last = np.repeat(ends[some], np.diff(cuts, append=until - at)) - at
+        sums[0, some] += np.add.reduceat(own, cuts, axis=0, dtype=np.float64)
+        sums[1, some] += np.add.reduceat(own**2, cuts, axis=0, dtype=np.float64)
+        for away in range(1, PAIRS + 1):
+            bound = np.zeros_like(own)
+            bound[: len(found) - away] = own[: len(found) - away] * found[away : away + len(own)]
+            # a pair ends where its document does
+            bound[np.arange(len(own)) + away >= last] = 0
+            sums[1 + away, some] += np.add.reduceat(bound, cuts, axis=0, dtype=np.float64)
+    sizes = np.maximum(ends - starts, 1)[:, None]
+    return np.concatenate([*(sums / sizes), np.log1p(sums[0] ** 2 / sizes)], axis=1)
 
 
 @dataclass(frozen=True)
@@ -243,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             )
 
     made = rows.mapInArrow(scan, "doc_id long, quality int, pool binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    inputs = np.stack([np.frombuffer(p, "<f8") for p in made["pool"]]) if len(made) else np.zeros((0, 2 * SIZE + 4))
+    inputs = np.stack([np.frombuffer(p, "<f8") for p in made["pool"]]) if len(made) else np.zeros((0, POOLS * SIZE))
     network = fit_network(inputs, made["quality"].to_numpy(), made["doc_id"].to_numpy() // 7 % 5 == 0)
     return Classifier(vectors, network)
 

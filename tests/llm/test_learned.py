@@ -76,8 +76,34 @@ def test_pools_do_not_depend_on_chunks(monkeypatch):
     whole = quality.pooled(words, vectors)
     monkeypatch.setattr(quality, "CHUNK", 7)
     assert np.allclose(quality.pooled(words, vectors), whole)
-    some = vectors[words[2].as_py()]
-    assert np.allclose(whole[2, : quality.SIZE], some.mean(axis=0), atol=1e-5)
+    for i, own in enumerate(words.to_pylist()):
+        some = vectors[own or []].astype(float)
+        pairs = [some[:-away] * some[away:] for away in (1, 2)]
+        total = [some, some**2, *pairs]
+        n = max(len(some), 1)
+        want = [t.sum(axis=0) / n for t in total] + [np.log1p(some.sum(axis=0) ** 2 / n)]
+        assert np.allclose(whole[i], np.concatenate(want), atol=1e-4)
+
+
+def test_contexts_do_not_depend_on_chunks(monkeypatch):
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    batch = pa.RecordBatch.from_arrays([pa.array([draw.integers(0, 50, n).tolist() for n in (0, 1, 300, 2, 40)] + [None], pa.list_(pa.int32()))], ["words"])
+    whole = list(quality._contexts(iter([batch])))
+    monkeypatch.setattr(quality, "CONTEXT_CHUNK", 7)
+    assert list(quality._contexts(iter([batch]))) == whole
+
+
+def test_pooled_vectors_alone_tell_quality(spark):
+    # at a size where the held-out figure is steady
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    made = quality.fit(docs, labels)
+    assert len(made.network.mean) == quality.POOLS * quality.SIZE
+    held = docs.join(labels.where(quality.remainder("doc_id") == 0).select("doc_id", "quality"), "doc_id")
+    rows = quality.score(held, made).select("quality", "quality_score").toPandas()
+    assert len(rows) > 500
+    assert area(rows["quality_score"].to_numpy(), rows["quality"].to_numpy()) > 0.99
 
 
 def plain_common(a, b):
