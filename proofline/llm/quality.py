@@ -34,6 +34,8 @@ THRESHOLD = 0.3
 CHUNK = 1 << 16
 # words whose neighbours are summed at once
 CONTEXT_CHUNK = 1 << 18
+# labelled rows that the driver works on at once
+ROW_CHUNK = 1 << 10
 # the farthest words that are bound as pairs, and the pools of a document
 PAIRS = 2
 POOLS = 3 + PAIRS
@@ -181,12 +183,16 @@ def _loss(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit_network(inputs: np.ndarray, labels: np.ndarray, calibration: np.ndarray) -> Network:
     """Fit on the rows that are not for ``calibration``, then set the temperature on those that are."""
-    if len(labels) < 20 or labels.min() == labels.max():
+    if len(labels) < 20 or labels.min() == labels.max() or calibration.all():
         blank = np.zeros(0)
         share = float(labels.mean()) if len(labels) else 0.5
         return Network(blank, blank, blank, blank, constant=share)
-    fit, kept = inputs[~calibration], labels[~calibration].astype(float)
-    mean, scale = fit.mean(axis=0), np.maximum(fit.std(axis=0), 1e-6)
+    own = np.flatnonzero(~calibration)
+    kept = labels[own].astype(float)
+    # the inputs are the driver's largest table: rows are worked on in parts, without a second copy
+    parts = np.array_split(own, math.ceil(len(own) / ROW_CHUNK))
+    mean = sum(inputs[part].sum(axis=0, dtype=np.float64) for part in parts) / len(own)
+    scale = np.maximum(np.sqrt(sum(((inputs[part] - mean) ** 2).sum(axis=0) for part in parts) / len(own)), 1e-6)
     draw = np.random.default_rng(1)
     weights = [
         draw.normal(0, 1 / math.sqrt(inputs.shape[1]), (inputs.shape[1] + 1, HIDDEN)),
@@ -194,18 +200,19 @@ def fit_network(inputs: np.ndarray, labels: np.ndarray, calibration: np.ndarray)
     ]
     # Adam with its usual constants
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
-    x, step = _with_one((fit - mean) / scale), 0
+    step = 0
     for epoch in range(EPOCHS):
-        order = draw.permutation(len(x))
+        order = draw.permutation(len(own))
         rate = 0.003 * 0.5 * (1 + math.cos(math.pi * epoch / EPOCHS))
-        for at in range(0, len(x), 256):
+        for at in range(0, len(own), 256):
             rows = order[at : at + 256]
-            hidden = np.tanh(x[rows] @ weights[0])
+            x = _with_one((inputs[own[rows]] - mean) / scale)
+            hidden = np.tanh(x @ weights[0])
             ones = _with_one(hidden)
             error = (_sigmoid(ones @ weights[1]) - kept[rows]) / len(rows)
             back = np.outer(error, weights[1][:-1]) * (1 - hidden**2)
             step += 1
-            for i, slope in enumerate((x[rows].T @ back, ones.T @ error)):
+            for i, slope in enumerate((x.T @ back, ones.T @ error)):
                 slope = slope + 1e-4 * weights[i]
                 m, v = moments[i]
                 m += 0.1 * (slope - m)
@@ -213,7 +220,9 @@ def fit_network(inputs: np.ndarray, labels: np.ndarray, calibration: np.ndarray)
                 weights[i] = weights[i] - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     network = Network(mean, scale, *weights)
     if calibration.any():
-        logits, held = network.logits(inputs[calibration]), labels[calibration]
+        others = np.flatnonzero(calibration)
+        logits = np.concatenate([network.logits(inputs[part]) for part in np.array_split(others, math.ceil(len(others) / ROW_CHUNK))])
+        held = labels[others]
         choices = np.exp(np.linspace(math.log(0.25), math.log(8), 101))
         best = min(choices, key=lambda t: _loss(logits / t, held))
         network = Network(mean, scale, *weights, temperature=float(best))
@@ -232,8 +241,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     ``labels`` has doc_id and quality (0 or 1). Documents whose crc32(doc_id as text)
     mod 5 is 0 are held out: their labels are not used. Of the others at most
     ``max_labelled``, chosen by a hash, are; a fifth of them sets the temperature. Null or
-    contradictory labels are left out. Without labels of both kinds every score is the share
-    of label 1 (0.5 without labels).
+    contradictory labels are left out. With fewer than 20 labels or labels of one kind only
+    every score is the share of label 1 (0.5 without labels).
     """
     spark = docs.sparkSession
     vectors = word_vectors(docs)
@@ -254,13 +263,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         for batch in batches:
             pool = pooled(batch.column("words"), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("quality"), pa.array([p.astype("<f8").tobytes() for p in pool], pa.binary())],
+                [batch.column("doc_id"), batch.column("quality"), pa.array([p.astype("<f4").tobytes() for p in pool], pa.binary())],
                 ["doc_id", "quality", "pool"],
             )
 
-    made = rows.mapInArrow(scan, "doc_id long, quality int, pool binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    inputs = np.stack([np.frombuffer(p, "<f8") for p in made["pool"]]) if len(made) else np.zeros((0, POOLS * SIZE))
-    network = fit_network(inputs, made["quality"].to_numpy(), made["doc_id"].to_numpy() // 7 % 5 == 0)
+    made = rows.mapInArrow(scan, "doc_id long, quality int, pool binary").dropDuplicates(["doc_id"]).toArrow()
+    order = np.argsort(made.column("doc_id").to_numpy())
+    inputs = np.zeros((len(order), POOLS * SIZE), np.float32)
+    for place, row in enumerate(order):
+        inputs[place] = np.frombuffer(made.column("pool")[int(row)].as_buffer(), "<f4")
+    ids, quality = made.column("doc_id").to_numpy()[order], made.column("quality").to_numpy()[order]
+    del made
+    network = fit_network(inputs, quality, ids // 7 % 5 == 0)
     return Classifier(vectors, network)
 
 
