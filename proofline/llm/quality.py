@@ -30,8 +30,8 @@ MAX_LABELLED = 20_000
 HIDDEN = 32
 EPOCHS = 40
 THRESHOLD = 0.3
-# words whose vectors are looked up at once
-CHUNK = 1 << 16
+# words of a document whose vectors are looked up at once, few enough for a processor's cache
+CHUNK = 1 << 12
 # words whose neighbours are summed at once
 CONTEXT_CHUNK = 1 << 18
 # labelled rows that the driver works on at once
@@ -129,21 +129,16 @@ def pooled(words: pa.Array, vectors: np.ndarray) -> np.ndarray:
     rows, ends = _lists(words)
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     sums = np.zeros((POOLS - 1, len(ends), SIZE))
-    for at in range(0, len(rows), CHUNK):
-        until = min(at + CHUNK, len(rows))
-        some = np.flatnonzero((ends > at) & (starts < until) & (ends > starts))
-        found = vectors[rows[at : until + PAIRS]]
-        own = found[: until - at]
-        cuts = np.maximum(starts[some], at) - at
-        last = np.repeat(ends[some], np.diff(cuts, append=until - at)) - at
-        sums[0, some] += np.add.reduceat(own, cuts, axis=0, dtype=np.float64)
-        sums[1, some] += np.add.reduceat(own**2, cuts, axis=0, dtype=np.float64)
-        for away in range(1, PAIRS + 1):
-            bound = np.zeros_like(own)
-            bound[: len(found) - away] = own[: len(found) - away] * found[away : away + len(own)]
-            # a pair ends where its document does
-            bound[np.arange(len(own)) + away >= last] = 0
-            sums[1 + away, some] += np.add.reduceat(bound, cuts, axis=0, dtype=np.float64)
+    for i, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+        for at in range(start, end, CHUNK):
+            until = min(at + CHUNK, end)
+            # a pair may reach into the next words, and ends where its document does
+            found = vectors[rows[at : min(until + PAIRS, end)]]
+            own = found[: until - at]
+            sums[0, i] += own.sum(axis=0)
+            for away in range(PAIRS + 1):
+                other = found[away : away + len(own)]
+                sums[1 + away, i] += np.einsum("ij,ij->j", own[: len(other)], other)
     sizes = np.maximum(ends - starts, 1)[:, None]
     return np.concatenate([*(sums / sizes), np.log1p(sums[0] ** 2 / sizes)], axis=1)
 
