@@ -22,6 +22,14 @@ SENTENCES = {
     "apache-notice-you": 'Licensed under the Apache License, Version 2.0 (the "License")',
     "apache-compliance": "you may not use this file except in compliance with the License",
     "apache-as-is": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied',
+    "apache-definition": '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document',
+    "apache-licensor": '"Licensor" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License',
+    "apache-grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form",
+    "apache-project": "This project is licensed under the Apache License, Version 2.0",
+    "apache-project-short": "This project is licensed under the Apache License 2.0",
+    "mit-see": "Licensed under the MIT License (see LICENSE)",
+    "mit-terms": "This project is licensed under the terms of the MIT License",
+    "mit-project-file": "This project is licensed under the MIT License - see the LICENSE file for details",
     "mit-notice": "Released under the MIT License",
     "mit-notice-licensed": "Licensed under the MIT License",
     "mit-notice-project": "This project is licensed under the MIT License",
@@ -45,6 +53,37 @@ SENTENCES = {
     "lgpl-notice": "This work is licensed under the GNU Lesser General Public License, version 3",
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
     "mpl-version": "2.0",
+    "isc-grant-and": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "zero-bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "bsd2-project": "This project is licensed under the BSD 2-Clause License",
+    "bsd3-project": "This project is licensed under the BSD 3-Clause License",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "gnu2-date": "Version 2, June 1991",
+    "gnu21-date": "Version 2.1, February 1999",
+    "gnu3-date": "Version 3, 29 June 2007",
+    "agpl3-date": "Version 3, 19 November 2007",
+    "gpl2-applies": "This License applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed under the terms of this General Public License",
+    "gpl3-refers": '"This License" refers to version 3 of the GNU General Public License',
+    "agpl3-refers": '"This License" refers to version 3 of the GNU Affero General Public License',
+    "agpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl21-applies": 'This License Agreement applies to any software library or other program which contains a notice placed by the copyright holder or other authorized party saying it may be distributed under the terms of this Lesser General Public License (also called "this License")',
+    "lgpl-free": "This library is free software",
+    "lgpl21-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl21-version": "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+    "lgpl3-incorporates": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below",
+    "mpl-contributor": '"Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software',
+    "epl1-title": "Eclipse Public License - v 1.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "epl-program": 'THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT")',
+    "epl1-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "epl2-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2-notice-http": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "zlib-origin": "The origin of this software must not be misrepresented",
+    "boost-grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following',
     "cc-by": "Licensed under CC BY 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
@@ -59,6 +98,13 @@ RULES = [
     ("Apache-2.0", ["apache-notice"]),
     ("Apache-2.0", ["apache-notice-you"]),
     ("Apache-2.0", ["apache-compliance", "apache-as-is"]),
+    ("Apache-2.0", ["apache-definition", "apache-licensor"]),
+    ("Apache-2.0", ["apache-grant"]),
+    ("Apache-2.0", ["apache-project"]),
+    ("Apache-2.0", ["apache-project-short"]),
+    ("MIT", ["mit-see"]),
+    ("MIT", ["mit-terms"]),
+    ("MIT", ["mit-project-file"]),
     ("MIT", ["mit-notice"]),
     ("MIT", ["mit-notice-licensed"]),
     ("MIT", ["mit-notice-project"]),
@@ -74,6 +120,30 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl-free", "gpl2-terms", "gpl2-version", "gpl-hope"]),
     ("LGPL-3.0", ["lgpl-notice"]),
     ("MPL-2.0", ["mpl-notice", "mpl-version"]),
+    ("ISC", ["isc-grant-and"]),
+    ("0BSD", ["zero-bsd-grant"]),
+    ("BSD-2-Clause", ["bsd2-project"]),
+    ("BSD-3-Clause", ["bsd3-project"]),
+    ("GPL-2.0", ["gpl-title", "gnu2-date"]),
+    ("GPL-2.0", ["gpl2-applies"]),
+    ("GPL-3.0", ["gpl-title", "gnu3-date"]),
+    ("GPL-3.0", ["gpl3-refers"]),
+    ("AGPL-3.0", ["agpl-title", "agpl3-date"]),
+    ("AGPL-3.0", ["agpl3-refers"]),
+    ("AGPL-3.0-or-later", ["gpl-free", "agpl3-terms", "gpl-hope"]),
+    ("LGPL-2.1", ["lgpl-title", "gnu21-date"]),
+    ("LGPL-2.1", ["lgpl21-applies"]),
+    ("LGPL-2.1-or-later", ["lgpl-free", "lgpl21-terms", "lgpl21-version", "lgpl-hope"]),
+    ("LGPL-3.0", ["lgpl-title", "gnu3-date"]),
+    ("LGPL-3.0", ["lgpl3-incorporates"]),
+    ("MPL-2.0", ["mpl-contributor"]),
+    ("EPL-1.0", ["epl1-title", "epl-program"]),
+    ("EPL-1.0", ["epl1-notice"]),
+    ("EPL-2.0", ["epl2-title", "epl-program"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("EPL-2.0", ["epl2-notice-http"]),
+    ("Zlib", ["zlib-grant", "zlib-origin"]),
+    ("BSL-1.0", ["boost-grant"]),
     ("CC-BY-4.0", ["cc-by"]),
     ("CC-BY-SA-4.0", ["cc-by-sa"]),
     ("CC-BY-NC-4.0", ["cc-by-nc"]),

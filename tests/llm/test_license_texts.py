@@ -47,6 +47,31 @@ WRAPPED = {
 }
 
 
+# how the texts of licences begin, without the notices at their ends
+OPENINGS = {
+    "Apache-2.0": ["Apache License", "Version 2.0, January 2004", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", "1. Definitions.", f"{S['apache-definition']}.", f"{S['apache-licensor']}."],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "Copyright (C) 2007 Some Body", "Preamble", "TERMS AND CONDITIONS", "0. Definitions.", f"{S['gpl3-refers']}."],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "Copyright (C) 1989, 1991 Some Body", f"0. {S['gpl2-applies']}."],
+    "AGPL-3.0": ["GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", "Preamble", f"{S['agpl3-refers']}."],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", f"0. {S['lgpl21-applies']}."],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", f"{S['lgpl3-incorporates']}."],
+    "MPL-2.0": ["Mozilla Public License Version 2.0", "1. Definitions", '1.1. "Contributor"\n    means each individual or legal entity that creates, contributes to\n    the creation of, or owns Covered Software.'],
+    "EPL-2.0": ["Eclipse Public License - v 2.0", f"{S['epl-program']}. ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT."],
+    "EPL-1.0": ["Eclipse Public License - v 1.0", f"{S['epl-program']}."],
+    "Zlib": ["Copyright (c) 2020 Some Body", f"{S['zlib-grant']}:", f"1. {S['zlib-origin']}; you must not claim that you wrote the original software."],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003", f"{S['boost-grant']}:"],
+    "0BSD": ["Copyright (C) 2020 Some Body", f"{S['zero-bsd-grant']}."],
+    "MIT": ["Licensed under the MIT licence (see LICENSE)."],
+}
+
+
+def test_openings_of_texts_wrapped_at_72_columns(spark, docs_of):
+    texts = ["\n\n".join(p if "\n" in p else textwrap.fill(p, 72) for p in own) for own in OPENINGS.values()]
+    assert names_of(docs_of, texts) == [*OPENINGS]
+    # a version's date is not enough, nor is the title
+    assert names_of(docs_of, ["Version 3, 29 June 2007", "GNU GENERAL PUBLIC LICENSE", "GNU GENERAL PUBLIC LICENSE\nVersion 9"]) == [""] * 3
+
+
 def test_standard_texts_wrapped_at_72_columns(spark, docs_of):
     parts = [[textwrap.fill(p, 72) for p in own] for own in WRAPPED.values()]
     texts = ["\n\n".join(own) for own in parts]

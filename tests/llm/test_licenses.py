@@ -17,9 +17,29 @@ def plain_normalised(text):
     return re.sub(r"\bnon infringement\b", "noninfringement", re.sub(r"\blicence", "license", words))
 
 
+ALONE = re.compile(f"{licenses._TITLE}|{licenses._NOTICE}", re.ASCII)
+
+
+def paragraphs(text):
+    """Lines joined up, but for titles, copyright notices and blank lines; one line has none."""
+    lines = re.split(r"\r\n|\r|\n", text)
+    if len(lines) == 1:
+        return []
+    made, own = [], []
+    for line in lines:
+        if not line.strip(" \t") or ALONE.fullmatch(line.strip(" \t")):
+            made += [" ".join(own), line]
+            own = []
+        else:
+            own.append(line)
+    return [*made, " ".join(own)]
+
+
 def by_force(text, sentences, rules):
     known = {plain_normalised(s): i for i, s in sorted(sentences.items(), reverse=True)}
-    passes = [re.split(r"[\r\n]+|(?<=[.;:!?])\s+", text), re.split(r"(?<=[.;:!?])\s+", re.sub(r"\s+", " ", text))]
+    stop = r"(?<=[.;:!?])\s+"
+    joined = [re.split(stop, re.sub(r"\s+", " ", p)) for p in (text, *paragraphs(text))]
+    passes = [re.split(rf"[\r\n]+|{stop}", text), joined[0], [s for p in joined[1:] for s in p]]
     ids = [[known[n] for n in map(plain_normalised, cut) if n in known] for cut in passes]
     names = set()
     for own in ids:
@@ -27,7 +47,7 @@ def by_force(text, sentences, rules):
             left = iter(own)
             if all(any(x == w for x in left) for w in wanted):
                 names.add(name)
-    return ",".join(sorted(names)), ",".join(ids[0] or ids[1])
+    return ",".join(sorted(names)), ",".join(ids[0] or ids[1] or ids[2])
 
 
 def test_query_of_licenses(spark, sf):
