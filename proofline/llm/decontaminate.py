@@ -37,8 +37,9 @@ WINDOWS = (16, 32)
 COSINE = 0.35
 # windows that are projected together
 WINDOWS_AT_ONCE = 4096
-# items with fewer words are too short to tell
+# items with fewer words are looked for as exact word sequences, so many in one pass over the documents
 LEAST_WORDS = 5
+SHORT_AT_ONCE = 100_000
 # the share of an item's words that a document has in order: enough alone, or with the answer
 STRONG, WEAK, ANSWER = 0.75, 0.5, 0.8
 # without a column of answers, the last of an item's words stand for its answer
@@ -314,9 +315,53 @@ class _Items:
         return best
 
 
-def _searcher(shared, cosine: float):
+class _ShortItems:
+    """Items of fewer than ``LEAST_WORDS`` words, found where all their words follow each other.
+
+    So few words say little on their own: where the item has an answer, it must be near.
+    """
+
+    def __init__(self, ids, words, answers):
+        self.ids = ids
+        self.answers = [list(a) for a in answers]
+        self.by_size: dict[int, tuple[np.ndarray, dict[tuple, list[int]]]] = {}
+        for size in sorted({len(w) for w in words}):
+            items: dict[tuple, list[int]] = {}
+            for item, own in enumerate(words):
+                if len(own) == size:
+                    items.setdefault(tuple(own), []).append(item)
+            self.by_size[size] = self._keys(np.array(list(items), np.uint64)), items
+
+    @staticmethod
+    def _keys(grams: np.ndarray) -> np.ndarray:
+        """A number for each row of words; rows that share it are told apart by their words."""
+        keys = np.zeros(len(grams), np.uint64)
+        for column in grams.T:
+            keys = keys * np.uint64(0x9E3779B97F4A7C15) + column
+        return keys
+
+    def matches(self, words: np.ndarray, cosine: float) -> dict[int, tuple[float, float, float]]:
+        """As ``_Items.matches``: a sequence that is there whole has a cosine and share of one."""
+        best: dict[int, tuple[float, float, float]] = {}
+        for size, (keys, items) in self.by_size.items():
+            if len(words) < size:
+                continue
+            grams = np.lib.stride_tricks.sliding_window_view(words, size).astype(np.uint64)
+            for at in np.flatnonzero(np.isin(self._keys(grams), keys)).tolist():
+                for item in items.get(tuple(words[at : at + size].tolist()), ()):
+                    answer = self.answers[item]
+                    if best.get(item, (0.0, 0.0))[1] == 1.0:
+                        continue
+                    region = words[max(0, at - WINDOWS[-1]) : at + size + WINDOWS[-1] + len(answer)].tolist()
+                    share = common_length(answer, region) / len(answer) if answer else 1.0
+                    if share >= ANSWER:
+                        best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (1.0, share, 1.0))
+        return best
+
+
+def _searcher(shared, cosine: float, kind: type = _Items):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _Items(*shared.value)
+        items = kind(*shared.value)
         for batch in batches:
             flat, ends = _lists(batch.column("words"))
             starts = np.concatenate([[0], ends[:-1]])
@@ -342,8 +387,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     ``benchmark`` has item_id, text and perhaps answer. A document has an item if at least
     ``STRONG`` of the item's words are there in order near a window that is close in the
     latent space, or ``WEAK`` of them and ``ANSWER`` of the answer's words. ``key`` is a
-    hash of the text, to name rows without a doc_id. Items with fewer than ``LEAST_WORDS``
-    words or without an id are left out. Null and empty texts match nothing; repeated rows
+    hash of the text, to name rows without a doc_id. An item with fewer than ``LEAST_WORDS``
+    words is found where all of them follow each other and, if the item has an answer, ``ANSWER`` of its
+    words are in order within ``WINDOWS[-1]`` words. Items without words or an id are left out. Null and empty texts match nothing; repeated rows
     give the same row each; empty tables give none. Other columns are not looked at.
 
     The word hashes of the documents are kept as a table, as the weights of all documents
@@ -356,8 +402,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     items = benchmark.select(
         benchmark["item_id"].cast("long").alias("item_id"), word_hashes(text).alias("words"), word_hashes(F.coalesce(answer, F.lit(""))).alias("answer")
     )
-    items = items.where(F.col("item_id").isNotNull() & (F.size("words") >= LEAST_WORDS))
+    items = items.where(F.col("item_id").isNotNull() & (F.size("words") > 0))
     items = tables.stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    short, items = (items.where(F.size("words") < LEAST_WORDS), items.where(F.size("words") >= LEAST_WORDS))
     with tables.batch_rows(spark, BATCH):
         named = tables.texts(docs)
         words = named.select("doc_id", F.xxhash64("text").alias("key"), word_hashes(F.col("text")).alias("words"))
@@ -365,13 +412,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         names = "row long, doc_id long, key long, item long, item_id long"
         schema = f"{names}, cosine double, word_share double, answer_share double"
         cut = tables.stored(items.select("item", F.posexplode(passages(F.col("words"))).alias("at", "words")), "passages")
-        count = cut.count()
-        if not count:
+        count, few = cut.count(), short.count()
+        if not count + few:
             return spark.createDataFrame([], schema).drop("row", "item")
-        weights = inverse_frequencies(words)
-        blocks = math.ceil(count / min(rank, ITEM_BLOCK))
-        cut = tables.stored(cut.withColumn("block", F.pmod(F.xxhash64("item", "at"), F.lit(blocks)).cast("int")), "passages")
         found = None
+        passes = math.ceil(few / SHORT_AT_ONCE)
+        for number in range(passes):
+            # a hash deals about SHORT_AT_ONCE items of a few words to each pass
+            mine = short.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == number).toPandas()
+            if len(mine):
+                ids = list(zip(mine["item"].tolist(), mine["item_id"].tolist()))
+                shared = spark.sparkContext.broadcast((ids, [list(w) for w in mine["words"]], [list(a) for a in mine["answer"]]))
+                part = tables.stored(words.mapInArrow(_searcher(shared, cosine, _ShortItems), schema), "leaks")
+                found = part if found is None else found.unionByName(part)
+        weights = inverse_frequencies(words) if count else None
+        blocks = math.ceil(count / min(rank, ITEM_BLOCK))
+        cut = tables.stored(cut.withColumn("block", F.pmod(F.xxhash64("item", "at"), F.lit(max(1, blocks))).cast("int")), "passages")
         for first in range(0, blocks, BLOCKS_AT_ONCE):
             some = cut.where(F.col("block").between(first, first + BLOCKS_AT_ONCE - 1))
             mine = items.join(some.select("item").distinct(), "item", "left_semi").toPandas()
