@@ -27,7 +27,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the least doc_id."""
+    """One document of each group of near copies, found by SimHash and a prefix filter: that with the least doc_id."""
     tables.ready(spark)
     return neardups.without_near_duplicates(docs)
 

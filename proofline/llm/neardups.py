@@ -1,4 +1,9 @@
-"""Near duplicates by shingles of five words, found exactly by a prefix filter.
+"""Near duplicates by SimHash, decided by shingles of five words; a prefix filter finds the rest exactly.
+
+The groups of ``simhash.py``, fingerprints within three bits of each other, come first. In a
+group all shingles decide: links connect what its similar texts connect. Similar texts
+whose fingerprints are further apart are left to a prefix filter, which passes over what is
+connected already, so no pair is lost and no fingerprint alone removes a text.
 
 The shingles of every text are put in one order, rarest first by a sketch of their counts.
 Two texts that reach the similarity have a shingle in common among the first of each: 20 % of
@@ -13,7 +18,8 @@ go into one cell only. In a cell all shingles decide, exactly; links that connec
 pairs connect are all that leaves it, so a group of near copies gives fewer links than it has
 texts, however many of its pairs are similar.
 
-A cell that is too large for a task is cut into blocks. Each is compared on its own first. Of what
+A group of fingerprints that is too large for a task is cut into blocks that share one of its
+texts. What they leave apart goes on to the prefix filter. A cell that is too large for a task is cut into blocks. Each is compared on its own first. Of what
 is not connected then, texts outside the cell's largest component go to all blocks.
 """
 
@@ -31,7 +37,7 @@ from pyspark.sql import functions as F
 
 from proofline.functions.expressions import free_names
 from proofline.functions.lookups import fits_broadcast, lookup_join
-from proofline.llm import tables
+from proofline.llm import simhash, tables
 from proofline.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -154,13 +160,13 @@ def _possible(size, at, other_size, other_at, similarity: float) -> np.ndarray:
 
 
 def _paired(similarity: float, few: int):
-    """The rows of small buckets that another row of the bucket could be similar to; a bucket's rows follow each other."""
+    """The rows of small buckets that a row not connected to them could be similar to; a bucket's rows follow each other."""
 
     def kept(rows: pa.Table) -> pa.RecordBatch:
-        shingle, size, at = (rows.column(c).to_numpy() for c in ("shingle", "size", "at"))
+        shingle, size, at, root = (rows.column(c).to_numpy() for c in ("shingle", "size", "at", "root"))
         keep = np.zeros(len(shingle), bool)
         for step in range(1, few):
-            same = shingle[step:] == shingle[:-step]
+            same = (shingle[step:] == shingle[:-step]) & (root[step:] != root[:-step])
             same &= _possible(size[step:], at[step:], size[:-step], at[:-step], similarity)
             keep[step:] |= same
             keep[:-step] |= same
@@ -274,14 +280,55 @@ def _sets(nodes: DataFrame, single: DataFrame, named: DataFrame) -> DataFrame:
     return tables.stored(met.dropDuplicates(["node"]), "shingles")
 
 
-def _cells(single: DataFrame, similarity: float) -> DataFrame:
-    """(cell, node): every two texts that can be similar by a first shingle in common are in one cell together."""
+def _cut(cells: DataFrame, single: DataFrame) -> DataFrame:
+    """(cell, blocks) of the cells that are too large for a task."""
+    sized = cells.join(single.select("node", "size"), "node").groupBy("cell").agg(F.sum(F.col("size") + 1).alias("size"))
+    cut = sized.where(F.col("size") > BLOCK_SHINGLES).select("cell", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    return tables.stored(cut, "cut")
+
+
+def _dealt(cells: DataFrame, cut: DataFrame) -> DataFrame:
+    """``cells`` with the block of each node and the number of its cell's blocks."""
+    dealt = lookup_join(cells, cut, ["cell"]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _groups(single: DataFrame, named: DataFrame) -> DataFrame:
+    """(cell, node, anchor): the texts of each SimHash group of several; all of a group know one of them."""
+    groups = single.join(simhash.groups(named), "key").select(F.col("root").alias("cell"), "node")
+    groups = tables.stored(groups, "groups")
+    several = groups.groupBy("cell").agg(F.count("*").alias("n"), F.min("node").alias("anchor")).where("n > 1")
+    found = lookup_join(groups, tables.stored(several.drop("n"), "several"), ["cell"], "inner")
+    return tables.stored(found.select("cell", "node", "anchor"), "groups")
+
+
+def _near(groups: DataFrame, single: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between similar texts of a SimHash group."""
+    dealt = _dealt(groups, _cut(groups, single))
+    # one text of a group goes to all its blocks, so that near copies of it are connected across them
+    blocks = F.when(F.col("node") == F.col("anchor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    members = dealt.select("cell", F.explode(blocks).alias("block"), "node", F.col("node").alias("root"))
+    return _within(members, sets, similarity)
+
+
+def _cells(single: DataFrame, similarity: float, rooted: DataFrame | None = None) -> DataFrame:
+    """(cell, node): every two texts that can be similar by a first shingle in common are in one cell together.
+
+    Pairs that ``rooted`` (node, root) names as connected already need not be.
+    """
     posted = single.select("node", "size", "firsts").mapInArrow(_postings, "shingle long, node long, size int, at int")
     shared = tables.stored(posted.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     all_met = tables.stored(lookup_join(posted, shared, ["shingle"], "inner").select("shingle", "node", "size", "at", "n"), "shared")
+    if rooted is not None:
+        all_met = lookup_join(all_met, rooted, ["node"])
+    root = F.col("node") if rooted is None else F.coalesce("root", "node")
+    all_met = all_met.select("shingle", "node", "size", "at", "n", root.alias("root"))
     small = all_met.where(F.col("n") <= FEW).repartition("shingle").sortWithinPartitions("shingle")
     small = small.mapInArrow(_paired(similarity, FEW), "shingle long, node long, n long")
-    met = tables.stored(all_met.where(F.col("n") > FEW).select("shingle", "node", "n").unionByName(small), "met")
+    large = tables.stored(all_met.where(F.col("n") > FEW).select("shingle", "node", "n", "root"), "large")
+    apart = large.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    large = lookup_join(large, tables.stored(apart.select("shingle"), "apart"), ["shingle"], "inner").select("shingle", "node", "n")
+    met = tables.stored(large.unionByName(small), "met")
     home = met.groupBy("node").agg(F.max(F.struct("n", "shingle"))["shingle"].alias("home"))
     placed = tables.stored(met.join(home, "node").select("shingle", "node", "home"), "placed")
     counted = placed.groupBy("shingle", "home").agg(F.count("*").alias("n"))
@@ -292,20 +339,24 @@ def _cells(single: DataFrame, similarity: float) -> DataFrame:
 
 def _links(single: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that connect what the pairs of similar texts connect."""
+    groups = _groups(single, named)
+    sets = _sets(groups.select("node").distinct(), single, named)
+    near = _near(groups, single, sets, similarity)
+    rooted = components(near).select(F.col("vertex").alias("node"), F.col("component").alias("root"))
+    rooted = tables.stored(rooted, "roots")
     with tables.batch_rows(single.sparkSession, NUMBER_ROWS):
-        cells = _cells(single, similarity)
-    sets = _sets(cells.select("node").distinct(), single, named)
-    sized = cells.join(single.select("node", "size"), "node").groupBy("cell").agg(F.sum(F.col("size") + 1).alias("size"))
-    cut = sized.where(F.col("size") > BLOCK_SHINGLES).select("cell", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    cut = tables.stored(cut, "cut")
-    dealt = lookup_join(cells, cut, ["cell"]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = tables.stored(dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "dealt")
-    links = _within(dealt.select("cell", "block", "node", F.col("node").alias("root")), sets, similarity)
+        cells = _cells(single, similarity, rooted)
+    others = cells.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+    sets = sets.unionByName(_sets(others, single, named))
+    cut = _cut(cells, single)
+    dealt = lookup_join(_dealt(cells, cut), rooted, ["node"]).withColumn("root", F.coalesce("root", "node"))
+    dealt = tables.stored(dealt, "dealt")
+    links = near.unionByName(_within(dealt.select("cell", "block", "node", "root"), sets, similarity))
     if cut.isEmpty():
         return links
     # between the blocks of a cell: what is outside its largest component meets everything
     rooted = components(links)
-    many = dealt.where("blocks > 1").join(rooted, F.col("node") == F.col("vertex"), "left")
+    many = dealt.drop("root").where("blocks > 1").join(rooted, F.col("node") == F.col("vertex"), "left")
     many = tables.stored(many.select("cell", "node", "block", "blocks", F.coalesce("component", "node").alias("root")), "many")
     counted = many.groupBy("cell", "root").agg(F.count("*").alias("n"))
     largest = counted.groupBy("cell").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"))
@@ -320,7 +371,7 @@ def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) ->
 
     A group is what links connect: texts whose shingles of five words (lower-cased, with
     repeated ones once; a shorter text is one shingle) have a Jaccard similarity of at least
-    ``similarity``. Texts without words, null ones among them, are copies of each other.
+    ``similarity``. SimHash finds such texts first, the prefix filter the others. Texts without words, null ones among them, are copies of each other.
     Null doc_ids come last; among rows that share a doc_id the one with the least hash of its
     text stays, and of rows that share that too, any one. All columns are kept; an empty
     table gives an empty one.

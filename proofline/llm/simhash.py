@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proofline.functions.lookups import lookup_join
 from proofline.llm import tables
 from proofline.llm.components import components, forest
 
@@ -280,6 +281,16 @@ def _classes(docs: DataFrame, words: int, max_bits: int, seed: int) -> tuple[Dat
     return prints, named.join(ids, "root").select("fingerprint", "root", "component_id")
 
 
+def groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
+    """(key, root): the hash of every text and a fingerprint that names its group.
+
+    Groups are those of ``near_duplicates``, without rows: copies of a text are one.
+    """
+    prints, classes = _classes(docs, words, max_bits, seed)
+    texts = tables.stored(prints.select("key", "fingerprint").distinct(), "texts")
+    return lookup_join(texts, tables.stored(classes.select("fingerprint", "root"), "roots"), ["fingerprint"], "inner").select("key", "root")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED
 ) -> DataFrame:
