@@ -142,7 +142,8 @@ def _prefixed(shared, similarity: float):
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of each prefix, with its place."""
-    for batch in batches:
+    # a text has very many: some texts at a time, however many a batch has
+    for batch in (b.slice(at, tables.BATCH_ROWS) for b in batches for at in range(0, b.num_rows, tables.BATCH_ROWS)):
         firsts = [np.frombuffer(f, "<i8") for f in batch.column("firsts").to_pylist()]
         many = np.array([len(f) for f in firsts], np.int64)
         if many.sum():

@@ -34,7 +34,7 @@ THRESHOLD = 0.3
 CHUNK = 1 << 12
 # words whose neighbours are summed at once
 CONTEXT_CHUNK = 1 << 18
-# labelled rows that the driver works on at once
+# labelled rows that the driver works on at once, and word vectors that a task sends at once
 ROW_CHUNK = 1 << 10
 # the farthest words that are bound as pairs, and the pools of a document
 PAIRS = 2
@@ -65,13 +65,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum the index vectors of neighbours for each row; the last place counts the words."""
     places, signs = index_vectors()
     total = np.zeros((ROWS, SIZE + 1), np.int64)
+    flat = total.reshape(-1)
     for batch in batches:
         words, ends = _lists(batch.column("words"))
         document = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         total[:, SIZE] += np.bincount(words, minlength=ROWS)
         # a batch may hold very long texts
         for begin in range(0, len(words), CONTEXT_CHUNK):
-            at, weights = [], []
             for away in range(1, NEAR + 1):
                 end = min(begin + CONTEXT_CHUNK, len(words) - away)
                 if end <= begin:
@@ -79,13 +79,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 inside = document[begin + away : end + away] == document[begin:end]
                 left, right = words[begin:end][inside], words[begin + away : end + away][inside]
                 for a, b in ((left, right), (right, left)):
-                    at.append((a[:, None] * SIZE + places[b]).ravel())
-                    weights.append(signs[b].ravel())
-            if at:
-                sums = np.bincount(np.concatenate(at), np.concatenate(weights), minlength=ROWS * SIZE)
-                total[:, :SIZE] += np.rint(sums).astype(np.int64).reshape(ROWS, SIZE)
+                    # added in place, one number of an index vector at a time: a worker holds no second copy of the sums
+                    for i in range(NONZERO):
+                        np.add.at(flat, a * (SIZE + 1) + places[b, i], signs[b, i])
     some = np.flatnonzero(total[:, SIZE])
-    yield _packed(some, total[some])
+    for at in range(0, len(some), ROW_CHUNK):
+        part = some[at : at + ROW_CHUNK]
+        yield _packed(part, total[part])
 
 
 def _packed(rows: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:

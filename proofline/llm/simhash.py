@@ -42,8 +42,10 @@ SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 2))
 # home rows of a bucket (one third of a key each fingerprint) from which on it is dealt out
 BUCKET_ROWS = 4096
 # pairs that a task compares at once
-PAIRS = 1 << 21
+PAIRS = 1 << 19
 KEY_BATCH = 20_000
+# fingerprints whose keys a task makes at once: each has about 85
+KEY_ROWS = 1000
 
 
 def _remainders() -> np.ndarray:
@@ -169,11 +171,13 @@ def keys_of(prints: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray, np.n
 def _keyed(own: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = batch.column("fingerprint").to_numpy(zero_copy_only=False)
-            keys, rows, home = keys_of(prints.view(np.uint64), own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.astype(np.int32)), pa.array(prints[rows]), pa.array(home)], ["key", "fingerprint", "home"]
-            )
+            many = batch.column("fingerprint").to_numpy(zero_copy_only=False)
+            for at in range(0, len(many), KEY_ROWS):
+                prints = many[at : at + KEY_ROWS]
+                keys, rows, home = keys_of(prints.view(np.uint64), own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.astype(np.int32)), pa.array(prints[rows]), pa.array(home)], ["key", "fingerprint", "home"]
+                )
 
     return scan
 
